@@ -1,0 +1,6 @@
+"""Streaming.
+
+The job this library rebuilds is a periodic batch report: it reads whole
+tables as of a reporting date and has no stream source, watermark, window or
+state. No streaming operator is provided on purpose (see README "Scope").
+"""
