@@ -46,7 +46,7 @@ def suppress_table(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     """Nulls filled with 0, then counts suppressed and rounded (numeric form:
     suppressed = null). A negative count or one above the limit fails the
     job with a clear message, as the original rule did."""
-    repl = {m: rounded_or_null(F.coalesce(F.col(m), F.lit(0))).alias(m) for m in measures}
+    repl = {m: rounded_or_null(f"coalesce(`{m}`, 0)").alias(m) for m in measures}
     return df.select(*[repl.get(c, F.col(c)) for c in df.columns])
 
 
@@ -67,7 +67,7 @@ def rate_crosstab(t3a: DataFrame, t2: DataFrame, domain=CATEGORY_DOMAIN, parity:
     else:
         cond = t3a["org_name"].eqNullSafe(a["_r_name"]) & t3a["org_code"].eqNullSafe(a["_r_code"])
     j = t3a.join(a, cond, "left")
-    return j.select("org_name", "org_code", *[rate(F.col(m), F.col("_alive")).alias(m) for m in measures])
+    return j.select("org_name", "org_code", *[rate(m, "_alive").alias(m) for m in measures])
 
 
 def to_text(df: DataFrame, counts: Sequence[str] = (), rates: Sequence[str] = (), rc: str = SUPPRESSED) -> DataFrame:

@@ -17,7 +17,8 @@ checkpoint folder when one is set, else persisted).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,13 +39,36 @@ from covtab.params import JobParams
 from covtab.session import materialize
 
 
+class Lazy(Mapping):
+    """A read-only mapping whose values are built on first access (and kept).
+
+    Building a DataFrame costs driver time even before anything runs; a
+    caller that needs one table should not pay for all of them.
+    """
+
+    def __init__(self, builders: dict):
+        self._builders = builders
+        self._done: dict = {}
+
+    def __getitem__(self, key):
+        if key not in self._done:
+            self._done[key] = self._builders[key]()
+        return self._done[key]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
+
 @dataclass
 class Report:
     """Published text tables, their numeric twins, and the named stages."""
 
-    tables: dict = field(default_factory=dict)
-    numeric: dict = field(default_factory=dict)
-    stages: dict = field(default_factory=dict)
+    tables: Mapping
+    numeric: Mapping
+    stages: Mapping
 
 
 def resolved_living(per_entity: DataFrame) -> DataFrame:
@@ -56,54 +80,44 @@ def build_report(inputs: dict, params: JobParams, materialise: bool = True) -> R
     """Build every table of the report from the five role tables.
 
     ``inputs``: ``facts``, ``concept_map``, ``facilities``, ``orgs``,
-    ``asset`` (see :mod:`covtab.sources`). With ``materialise=False``
-    nothing runs until an action on a returned DataFrame.
+    ``asset`` (see :mod:`covtab.sources`). Stages and tables are built on
+    first access. With ``materialise=True`` the reused stages (reduced facts,
+    registrations, cells, population) are computed once when first needed;
+    with ``materialise=False`` nothing runs until an action on a returned
+    DataFrame.
     """
     keep = materialize if materialise else (lambda df: df)
     limit = max(1, params.broadcast_limit_bytes // 64)  # rows; a map row is well under 64 bytes of keys
-
-    mapping = org_map(inputs["facilities"], inputs["orgs"], params.asof, limit)
-    reduced = keep(reduce_facts(inputs["facts"], inputs["concept_map"], limit))
-    per_entity = resolve_reduced(reduced)
-    regs = keep(registrations_reduced(reduced, mapping, limit))
-
-    attr_p = attribute(resolved_living(per_entity), regs, params.parity)
-    attr_s = attribute(inputs["asset"], regs, params.parity)
-    cells_p = keep(category_cells(attr_p))
-    cells_s = keep(category_cells(attr_s))
-    pop = keep(population(regs))
-
-    cov_p = coverage(pop, known_by_org(cells_p), params.parity)
-    cov_s = coverage(pop, known_by_org(cells_s), params.parity)
-    xtab = crosstab(cells_s, cov_s, params.domain, params.parity)
-
-    t1 = coverage_table(cov_p, params.parity)
-    t2 = coverage_table(cov_s, params.parity)
-    t3a = crosstab_table(xtab, params.domain, params.parity)
-    t3b = rate_crosstab(t3a, t2, params.domain, params.parity)
-    ref = org_reference(mapping)
-
-    return Report(
-        tables={
-            "table_1": publish_coverage(t1),
-            "table_2": publish_coverage(t2),
-            "table_3a": publish_crosstab(t3a, params.domain),
-            "table_3b": publish_rates(t3b, params.domain),
-            "org_reference": ref,
-        },
-        numeric={"table_1": t1, "table_2": t2, "table_3a": t3a, "table_3b": t3b},
-        stages={
-            "org_map": mapping,
-            "reduced": reduced,
-            "per_entity": per_entity,
-            "registrations": regs,
-            "attributed_primary": attr_p,
-            "attributed_secondary": attr_s,
-            "cells_primary": cells_p,
-            "cells_secondary": cells_s,
-            "population": pop,
-            "coverage_primary": cov_p,
-            "coverage_secondary": cov_s,
-            "crosstab": xtab,
-        },
-    )
+    p = params.parity
+    st: Lazy
+    num: Lazy
+
+    stage_builders = {
+        "org_map": lambda: org_map(inputs["facilities"], inputs["orgs"], params.asof, limit),
+        "reduced": lambda: keep(reduce_facts(inputs["facts"], inputs["concept_map"], limit)),
+        "per_entity": lambda: resolve_reduced(st["reduced"]),
+        "registrations": lambda: keep(registrations_reduced(st["reduced"], st["org_map"], limit)),
+        "attributed_primary": lambda: attribute(resolved_living(st["per_entity"]), st["registrations"], p),
+        "attributed_secondary": lambda: attribute(inputs["asset"], st["registrations"], p),
+        "cells_primary": lambda: keep(category_cells(st["attributed_primary"])),
+        "cells_secondary": lambda: keep(category_cells(st["attributed_secondary"])),
+        "population": lambda: keep(population(st["registrations"])),
+        "coverage_primary": lambda: coverage(st["population"], known_by_org(st["cells_primary"]), p),
+        "coverage_secondary": lambda: coverage(st["population"], known_by_org(st["cells_secondary"]), p),
+        "crosstab": lambda: crosstab(st["cells_secondary"], st["coverage_secondary"], params.domain, p),
+    }
+    st = Lazy(stage_builders)
+    num = Lazy({
+        "table_1": lambda: coverage_table(st["coverage_primary"], p),
+        "table_2": lambda: coverage_table(st["coverage_secondary"], p),
+        "table_3a": lambda: crosstab_table(st["crosstab"], params.domain, p),
+        "table_3b": lambda: rate_crosstab(num["table_3a"], num["table_2"], params.domain, p),
+    })
+    tables = Lazy({
+        "table_1": lambda: publish_coverage(num["table_1"]),
+        "table_2": lambda: publish_coverage(num["table_2"]),
+        "table_3a": lambda: publish_crosstab(num["table_3a"], params.domain),
+        "table_3b": lambda: publish_rates(num["table_3b"], params.domain),
+        "org_reference": lambda: org_reference(st["org_map"]),
+    })
+    return Report(tables=tables, numeric=num, stages=st)

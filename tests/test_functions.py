@@ -11,7 +11,7 @@ from covtab.params import JobParams
 
 
 def _one(spark, expr, value, typ="long"):
-    return spark.createDataFrame([(value,)], f"v {typ}").select(expr(F.col("v")).alias("o")).first().o
+    return spark.createDataFrame([(value,)], f"v {typ}").select(expr("v").alias("o")).first().o
 
 
 @pytest.mark.parametrize("v,out", [
