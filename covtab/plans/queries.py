@@ -43,6 +43,13 @@ from covtab.operators import (
     with_total,
 )
 from covtab.params import JobParams, SOURCE_CODED, SOURCE_DIRECT
+from covtab.plans.publish import (
+    publication_notes,
+    publish_tables,
+    published_order,
+    read_published,
+    scratch_folder,
+)
 from covtab.plans.quality import freshness, quality_report
 from covtab.plans.report import build_report, resolved_living
 from covtab.sources.demo import DEMO_ASOF, demo_inputs
@@ -54,6 +61,7 @@ class _Ctx:
     """Lazily built shared sub-plans of one query (nothing is executed)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
         self.i = demo_inputs(spark, sf_dir)
 
     @property
@@ -123,6 +131,18 @@ def _dedupe_both(c: _Ctx) -> DataFrame:
     return coded.unionByName(direct)
 
 
+def _notes(c: _Ctx) -> DataFrame:
+    rep = c.report()
+    return publication_notes(c.spark, dict(rep.tables))
+
+
+def _roundtrip(c: _Ctx) -> DataFrame:
+    rep = c.report()
+    folder = scratch_folder(c.spark, "published")
+    written = publish_tables(dict(rep.tables), folder, "csv", notes=publication_notes(c.spark, dict(rep.tables)))
+    return read_published(c.spark, written["table_2"], "csv")
+
+
 def _quality(c: _Ctx) -> DataFrame:
     return quality_report(c.org_map(), c.cells_p(), c.cells_s(), c.cov_p(), c.cov_s())
 
@@ -157,6 +177,9 @@ _BUILDERS: dict[str, Callable[[_Ctx], DataFrame]] = {
     "org_reference": lambda c: org_reference(c.org_map()),
     "freshness": lambda c: freshness(c.facts, DEMO_ASOF),
     "quality_report": _quality,
+    "published_order": lambda c: published_order(c.report().tables["table_1"]),
+    "publication_notes": _notes,
+    "publish_roundtrip": _roundtrip,
 }
 
 

@@ -318,3 +318,27 @@ ORACLE["quality_report"] = q(
     "UNION ALL SELECT 'negative_unknown_secondary', org_name, unknown FROM cov_s WHERE unknown < 0 "
     "UNION ALL SELECT 'facility_fanout', facility_code, COUNT(*) FROM org_map GROUP BY facility_code HAVING COUNT(*) > 1"
 )
+
+ORACLE["published_order"] = q(
+    f"SELECT {_COV_TEXT}, ROW_NUMBER() OVER (ORDER BY org_name NULLS FIRST) AS rank FROM rounded_p")
+ORACLE["publish_roundtrip"] = ORACLE["table_2"]
+
+
+def _notes_sql() -> str:
+    from covtab.plans.publish import DEFAULT_NOTES as N
+
+    def lit(t):
+        return "'" + t.replace("'", "''") + "'"
+
+    rows = [("cover", "title", N["title"]), ("cover", "organisation", N["organisation"])]
+    rows += [("interpretation", k, v) for k, v in N["interpretation"].items()]
+    rows += [("footnote", str(i + 1), t) for i, t in enumerate(N["footnotes"])]
+    parts = [f"SELECT {lit(a)} AS section, {lit(b)} AS item, {lit(c)} AS text" for a, b, c in rows]
+    sizes = [("table_1", "rounded_p", 6), ("table_2", "rounded_s", 6), ("table_3a", "xtab_rounded", 21),
+             ("table_3b", "xtab_rates", 21), ("org_reference", "(SELECT DISTINCT org_code, " + _ORG_ATTRS + " FROM org_map)", 17)]
+    parts += [f"SELECT 'contents', '{name}', CAST(COUNT(*) AS VARCHAR) || ' rows, {k} columns' FROM {src} t"
+              for name, src, k in sizes]
+    return q(" UNION ALL ".join(parts))
+
+
+ORACLE["publication_notes"] = _notes_sql()
