@@ -3,6 +3,7 @@ named columns; :mod:`covtab.plans.report` wires them into the full report."""
 
 from covtab.operators.attribute import (
     attribute,
+    entity_category,
     keep_living,
     living,
     registrations,
@@ -21,7 +22,16 @@ from covtab.operators.disclose import (
     with_rate,
     with_total,
 )
-from covtab.operators.measure import category_cells, coverage, crosstab, known_by_org, population
+from covtab.operators.measure import (
+    category_cells,
+    coverage,
+    crosstab,
+    cube_cells,
+    cube_population,
+    known_by_org,
+    population,
+    registration_cube,
+)
 from covtab.operators.observe import (
     candidate_observations,
     dedupe_observations,

@@ -51,6 +51,25 @@ def registrations_reduced(reduced: DataFrame, mapping: DataFrame, max_broadcast_
     return _register(pairs, mapping, max_broadcast_rows)
 
 
+def entity_category(asset: DataFrame) -> DataFrame:
+    """One row per entity of an asset: its category if the entity's non-null
+    categories are all the same, with the latest attribution date and that
+    row's source; entities with several categories are dropped. One
+    aggregation on entity (map-side combined)."""
+    return (
+        asset.where(F.col("category").isNotNull())
+        .groupBy("entity_id")
+        .agg(
+            F.min("category").alias("_lo"),
+            F.max("category").alias("category"),
+            F.max_by("source", F.struct("attributed_on", "source")).alias("source"),
+            F.max("attributed_on").alias("attributed_on"),
+        )
+        .where(F.col("_lo") == F.col("category"))
+        .select("entity_id", "category", "attributed_on", "source")
+    )
+
+
 def attribute(asset: DataFrame, regs: DataFrame, parity: bool = False) -> DataFrame:
     """Attach an entity-level category asset to its registrations.
 
@@ -85,16 +104,5 @@ def attribute(asset: DataFrame, regs: DataFrame, parity: bool = False) -> DataFr
         )
         rows = asset.join(ok, "entity_id", "left_semi")
     else:
-        rows = (
-            asset.where(F.col("category").isNotNull())
-            .groupBy("entity_id")
-            .agg(
-                F.min("category").alias("_lo"),
-                F.max("category").alias("category"),
-                F.max_by("source", F.struct("attributed_on", "source")).alias("source"),
-                F.max("attributed_on").alias("attributed_on"),
-            )
-            .where(F.col("_lo") == F.col("category"))
-            .drop("_lo")
-        )
+        rows = entity_category(asset)
     return rows.join(keyed, "entity_id", "inner").select(*ATTRIBUTION_COLUMNS)

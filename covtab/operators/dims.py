@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from covtab.functions.predicates import valid_asof
 from covtab.params import ORG_ATTRIBUTES
-from covtab.session import broadcast_if_small
 
 ORG_MAP_COLUMNS = ("facility_code", "org_code") + ORG_ATTRIBUTES
 ORG_REFERENCE_COLUMNS = ("org_code",) + ORG_ATTRIBUTES
@@ -21,6 +20,9 @@ def org_map(facilities: DataFrame, orgs: DataFrame, asof, max_broadcast_rows: in
     equi-join on the org code; a facility whose org is missing, closed, or has
     a null code drops out. A facility can map to several org rows if the org
     table holds several valid records for one code (they all stay).
+
+    Both sides are dimensions, so no hint is given: Spark broadcasts by its
+    own size estimate, and the result is checked where it meets large data.
     """
     f = facilities.where(
         valid_asof("open_date", "close_date", asof) & valid_asof("record_start", "record_end", asof)
@@ -28,7 +30,7 @@ def org_map(facilities: DataFrame, orgs: DataFrame, asof, max_broadcast_rows: in
     o = orgs.where(
         valid_asof("open_date", "close_date", asof) & valid_asof("record_start", "record_end", asof)
     ).select(*ORG_REFERENCE_COLUMNS)
-    return f.join(broadcast_if_small(o, max_broadcast_rows), "org_code", "inner").select(*ORG_MAP_COLUMNS)
+    return f.join(o, "org_code", "inner").select(*ORG_MAP_COLUMNS)
 
 
 def org_reference(mapping: DataFrame) -> DataFrame:

@@ -78,3 +78,45 @@ def crosstab(cells: DataFrame, cover: DataFrame, domain=CATEGORY_DOMAIN, parity:
     u = cover.select(F.col("org_name").alias("_r_name"), F.col("org_code").alias("_r_code"), "unknown")
     j = wide.join(u, _org_join(wide, u, parity), "left")
     return j.select("org_name", "org_code", *[F.col(c) for c in domain], "unknown")
+
+
+def registration_cube(regs: DataFrame, primary: DataFrame, secondary: DataFrame) -> DataFrame:
+    """All per-org counts of the report in one aggregation.
+
+    ``primary`` and ``secondary``: one row per entity, ``(entity_id,
+    category)``, category null when the entity does not count. Each
+    registration is tagged with both categories (two joins on entity; both
+    sides are aggregates already partitioned by entity, and one row per
+    entity, so a hot entity cannot skew them) and counted per
+    (org, keyed, primary category, secondary category). The result has at
+    most orgs x categories^2 rows; population, both cell tables and known
+    are sums over it (:func:`cube_population`, :func:`cube_cells`).
+
+    ``keyed``: the registration has an entity, a facility and an org, so it
+    can carry a category (the original dropped the rest from the cells but
+    kept them in the population).
+    """
+    p = primary.select("entity_id", F.col("category").alias("p_cat"))
+    s = secondary.select("entity_id", F.col("category").alias("s_cat"))
+    keyed = F.col("entity_id").isNotNull() & F.col("facility_code").isNotNull() & F.col("org_code").isNotNull()
+    base = regs.join(p, "entity_id", "left").join(s, "entity_id", "left")
+    return base.groupBy(
+        "org_code", "org_name", keyed.alias("keyed"),
+        F.when(keyed, F.col("p_cat")).alias("p_cat"), F.when(keyed, F.col("s_cat")).alias("s_cat"),
+    ).agg(F.count("entity_id").alias("n"))
+
+
+def cube_population(cube: DataFrame) -> DataFrame:
+    """:func:`population` from :func:`registration_cube` output."""
+    return cube.groupBy("org_code", "org_name").agg(F.sum("n").cast("long").alias("alive"))
+
+
+def cube_cells(cube: DataFrame, side: str) -> DataFrame:
+    """:func:`category_cells` of the primary (``side="p"``) or secondary
+    (``side="s"``) categories from :func:`registration_cube` output."""
+    c = f"{side}_cat"
+    return (
+        cube.where(F.col(c).isNotNull())
+        .groupBy("org_code", "org_name", F.col(c).alias("category"))
+        .agg(F.sum("n").cast("long").alias("n"))
+    )

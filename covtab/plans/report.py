@@ -6,13 +6,17 @@ Physical shape (see README "Plan"):
    (entity, facility, mapped category, direct category), combined map-side.
 2. ``resolve_reduced`` and ``registrations_reduced``: both read the reduced
    rows; one aggregation on entity each.
-3. ``attribute`` twice (primary = resolved categories, secondary = the
-   prepared asset), each one row per entity joined 1:1-ish to registrations.
-4. Cells and population: a few rows per org. Everything after is tiny.
-
-The reduced facts and the registrations are each read by several later
-steps, so they are materialised once (checkpoint in the session's shared
-checkpoint folder when one is set, else persisted).
+3. ``registration_cube``: registrations joined on entity with the resolved
+   primary category and the secondary asset's per-entity category (both one
+   row per entity), counted per (org, primary, secondary category). One job
+   from the reduced facts to every per-org count; the result is tiny.
+4. Population, cells, coverage, cross-tab, totals, suppression and rates
+   are all small aggregations over the cube.
+
+The reduced facts and the cube are materialised once (checkpoint in the
+session's shared checkpoint folder when one is set, else persisted). With
+``parity=True`` the row-level attribution path is used instead, since
+duplicate and null-category asset rows then count.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covtab.operators.attribute import attribute, registrations_reduced
+from covtab.operators.attribute import attribute, entity_category, registrations_reduced
 from covtab.operators.dims import org_map, org_reference
 from covtab.operators.disclose import (
     coverage_table,
@@ -33,7 +37,16 @@ from covtab.operators.disclose import (
     publish_rates,
     rate_crosstab,
 )
-from covtab.operators.measure import category_cells, coverage, crosstab, known_by_org, population
+from covtab.operators.measure import (
+    category_cells,
+    coverage,
+    crosstab,
+    cube_cells,
+    cube_population,
+    known_by_org,
+    population,
+    registration_cube,
+)
 from covtab.operators.resolve import RESOLVED_COLUMNS, reduce_facts, resolve_reduced
 from covtab.params import JobParams
 from covtab.session import materialize
@@ -96,16 +109,33 @@ def build_report(inputs: dict, params: JobParams, materialise: bool = True) -> R
         "org_map": lambda: org_map(inputs["facilities"], inputs["orgs"], params.asof, limit),
         "reduced": lambda: keep(reduce_facts(inputs["facts"], inputs["concept_map"], limit)),
         "per_entity": lambda: resolve_reduced(st["reduced"]),
-        "registrations": lambda: keep(registrations_reduced(st["reduced"], st["org_map"], limit)),
-        "attributed_primary": lambda: attribute(resolved_living(st["per_entity"]), st["registrations"], p),
-        "attributed_secondary": lambda: attribute(inputs["asset"], st["registrations"], p),
-        "cells_primary": lambda: keep(category_cells(st["attributed_primary"])),
-        "cells_secondary": lambda: keep(category_cells(st["attributed_secondary"])),
-        "population": lambda: keep(population(st["registrations"])),
+        "registrations": lambda: registrations_reduced(st["reduced"], st["org_map"], limit),
         "coverage_primary": lambda: coverage(st["population"], known_by_org(st["cells_primary"]), p),
         "coverage_secondary": lambda: coverage(st["population"], known_by_org(st["cells_secondary"]), p),
         "crosstab": lambda: crosstab(st["cells_secondary"], st["coverage_secondary"], params.domain, p),
     }
+    if p:
+        # Row-level attribution: duplicate and null-category asset rows count.
+        stage_builders.update({
+            "registrations": lambda: keep(registrations_reduced(st["reduced"], st["org_map"], limit)),
+            "attributed_primary": lambda: attribute(resolved_living(st["per_entity"]), st["registrations"], p),
+            "attributed_secondary": lambda: attribute(inputs["asset"], st["registrations"], p),
+            "cells_primary": lambda: keep(category_cells(st["attributed_primary"])),
+            "cells_secondary": lambda: keep(category_cells(st["attributed_secondary"])),
+            "population": lambda: keep(population(st["registrations"])),
+        })
+    else:
+        # One job from the reduced facts to every per-org count.
+        stage_builders.update({
+            "cube": lambda: keep(registration_cube(
+                st["registrations"],
+                resolved_living(st["per_entity"]).select("entity_id", "category"),
+                entity_category(inputs["asset"]).select("entity_id", "category"),
+            )),
+            "population": lambda: cube_population(st["cube"]),
+            "cells_primary": lambda: cube_cells(st["cube"], "p"),
+            "cells_secondary": lambda: cube_cells(st["cube"], "s"),
+        })
     st = Lazy(stage_builders)
     num = Lazy({
         "table_1": lambda: coverage_table(st["coverage_primary"], p),
