@@ -119,8 +119,8 @@ class _Ctx:
     def rounded_s(self):
         return suppress_table(with_total(self.cov_s(), COVERAGE_MEASURES), COVERAGE_MEASURES)
 
-    def report(self):
-        return build_report(self.i, JobParams(asof=DEMO_ASOF), materialise=False)
+    def report(self, parity: bool = False):
+        return build_report(self.i, JobParams(asof=DEMO_ASOF, parity=parity), materialise=False)
 
 
 def _dedupe_both(c: _Ctx) -> DataFrame:
@@ -177,6 +177,8 @@ _BUILDERS: dict[str, Callable[[_Ctx], DataFrame]] = {
     "org_reference": lambda c: org_reference(c.org_map()),
     "freshness": lambda c: freshness(c.facts, DEMO_ASOF),
     "quality_report": _quality,
+    "table_2_parity": lambda c: c.report(parity=True).tables["table_2"],
+    "table_3b_parity": lambda c: c.report(parity=True).tables["table_3b"],
     "published_order": lambda c: published_order(c.report().tables["table_1"]),
     "publication_notes": _notes,
     "publish_roundtrip": _roundtrip,

@@ -342,3 +342,58 @@ def _notes_sql() -> str:
 
 
 ORACLE["publication_notes"] = _notes_sql()
+
+
+# Parity mode: the original's exact joins and label fill (org name only;
+# known/code from the known side; every null label filled).
+_PARITY = f""",
+cov_s_par AS (
+  SELECT a.org_name, b.org_code, b.known, a.alive, a.alive - b.known AS unknown
+  FROM population a LEFT JOIN known_s b ON a.org_name = b.org_name
+  WHERE a.org_name IS NOT NULL
+),
+total_s_par AS (
+  SELECT COALESCE(org_name, 'TOTAL') AS org_name, COALESCE(org_code, 'ZZZTOTAL') AS org_code, known, alive, unknown
+  FROM (
+    SELECT org_name, org_code, known, alive, unknown FROM cov_s_par
+    UNION ALL
+    SELECT NULL, NULL, CAST(SUM(known) AS BIGINT), CAST(SUM(alive) AS BIGINT), CAST(SUM(unknown) AS BIGINT) FROM cov_s_par
+  ) t
+),
+rounded_s_par AS (
+  SELECT org_name, org_code, {sup('known')} AS known, {sup('alive')} AS alive, {sup('unknown')} AS unknown FROM total_s_par
+),
+xtab_par AS (
+  SELECT w.*, c.unknown FROM (
+    SELECT org_name, org_code,
+  {_PIVOT}
+    FROM cells_s GROUP BY org_name, org_code
+  ) w LEFT JOIN cov_s_par c ON w.org_name = c.org_name
+),
+xtab_total_par AS (
+  SELECT COALESCE(org_name, 'TOTAL') AS org_name, COALESCE(org_code, 'ZZZTOTAL') AS org_code,
+         {", ".join(_Q(m) for m in _MEASURES_3A)}
+  FROM (
+    SELECT org_name, org_code, {", ".join(_Q(m) for m in _MEASURES_3A)} FROM xtab_par
+    UNION ALL
+    SELECT NULL, NULL, {", ".join(f"CAST(SUM({_Q(m)}) AS BIGINT)" for m in _MEASURES_3A)} FROM xtab_par
+  ) t
+),
+xtab_rounded_par AS (
+  SELECT org_name, org_code, {", ".join(f"{sup(_Q(m))} AS {_Q(m)}" for m in _MEASURES_3A)} FROM xtab_total_par
+),
+xtab_rates_par AS (
+  SELECT x.org_name, x.org_code, {", ".join(f"{rate('x.' + _Q(m), 'r.alive')} AS {_Q(m)}" for m in _MEASURES_3A)}
+  FROM xtab_rounded_par x LEFT JOIN rounded_s_par r ON x.org_name = r.org_name
+)
+"""
+
+
+def qp(select: str) -> str:
+    return f"WITH {STAGES}{_PARITY}\n{select}"
+
+
+ORACLE["table_2_parity"] = qp(f"SELECT {_COV_TEXT} FROM rounded_s_par")
+ORACLE["table_3b_parity"] = qp(
+    "SELECT org_name, org_code, " + ", ".join(f"{txt(_Q(m))} AS {_Q(m)}" for m in _MEASURES_3A)
+    + " FROM xtab_rates_par")
