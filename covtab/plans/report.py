@@ -49,6 +49,7 @@ from covtab.operators.measure import (
 )
 from covtab.operators.resolve import RESOLVED_COLUMNS, reduce_facts, resolve_reduced
 from covtab.params import JobParams
+from covtab.plans.quality import freshness, quality_report
 from covtab.session import materialize
 
 
@@ -113,6 +114,9 @@ def build_report(inputs: dict, params: JobParams, materialise: bool = True) -> R
         "coverage_primary": lambda: coverage(st["population"], known_by_org(st["cells_primary"]), p),
         "coverage_secondary": lambda: coverage(st["population"], known_by_org(st["cells_secondary"]), p),
         "crosstab": lambda: crosstab(st["cells_secondary"], st["coverage_secondary"], params.domain, p),
+        "freshness": lambda: freshness(inputs["facts"], params.asof),
+        "quality": lambda: quality_report(st["org_map"], st["cells_primary"], st["cells_secondary"],
+                                          st["coverage_primary"], st["coverage_secondary"], params.domain),
     }
     if p:
         # Row-level attribution: duplicate and null-category asset rows count.
