@@ -119,8 +119,8 @@ class _Ctx:
     def rounded_s(self):
         return suppress_table(with_total(self.cov_s(), COVERAGE_MEASURES), COVERAGE_MEASURES)
 
-    def report(self, parity: bool = False):
-        return build_report(self.i, JobParams(asof=DEMO_ASOF, parity=parity), materialise=False)
+    def report(self, parity: bool = False, materialise: bool = False):
+        return build_report(self.i, JobParams(asof=DEMO_ASOF, parity=parity), materialise=materialise)
 
 
 def _dedupe_both(c: _Ctx) -> DataFrame:
@@ -137,8 +137,9 @@ def _notes(c: _Ctx) -> DataFrame:
 
 
 def _roundtrip(c: _Ctx) -> DataFrame:
-    rep = c.report()
+    # Publishing is an action: materialise the shared stages first, as a run would.
     folder = scratch_folder(c.spark, "published")
+    rep = c.report(materialise=True)
     written = publish_tables(dict(rep.tables), folder, "csv", notes=publication_notes(c.spark, dict(rep.tables)))
     return read_published(c.spark, written["table_2"], "csv")
 
