@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from covtab.functions.predicates import valid_asof
 from covtab.params import ORG_ATTRIBUTES
@@ -12,7 +11,7 @@ ORG_MAP_COLUMNS = ("facility_code", "org_code") + ORG_ATTRIBUTES
 ORG_REFERENCE_COLUMNS = ("org_code",) + ORG_ATTRIBUTES
 
 
-def org_map(facilities: DataFrame, orgs: DataFrame, asof, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def org_map(facilities: DataFrame, orgs: DataFrame, asof) -> DataFrame:
     """Facilities open on ``asof`` joined to the org that is open on ``asof``.
 
     Both the open/close interval and the record start/end interval must be

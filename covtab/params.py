@@ -7,7 +7,7 @@ whole contract of the report in one place.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # Fixed values. These must stay exactly as written: the published tables are
@@ -95,13 +95,14 @@ class JobParams:
     ``asof`` limits the dimensions only (facilities and orgs valid on that
     day); facts are not cut at it. ``parity`` reproduces the original job's
     quirks where this library deliberately differs (see README "Semantics").
+    ``broadcast_max_rows`` bounds the dimension tables (concept map, org map)
+    that are broadcast; a larger one is joined by shuffle instead.
     """
 
     asof: _dt.date
     domain: tuple = CATEGORY_DOMAIN
     parity: bool = False
-    broadcast_limit_bytes: int = 64 * 1024 * 1024
-    extra: dict = field(default_factory=dict)
+    broadcast_max_rows: int = 1_000_000
 
     def __post_init__(self):
         object.__setattr__(self, "asof", as_date(self.asof))

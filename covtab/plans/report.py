@@ -101,13 +101,13 @@ def build_report(inputs: dict, params: JobParams, materialise: bool = True) -> R
     DataFrame.
     """
     keep = materialize if materialise else (lambda df: df)
-    limit = max(1, params.broadcast_limit_bytes // 64)  # rows; a map row is well under 64 bytes of keys
+    limit = params.broadcast_max_rows
     p = params.parity
     st: Lazy
     num: Lazy
 
     stage_builders = {
-        "org_map": lambda: org_map(inputs["facilities"], inputs["orgs"], params.asof, limit),
+        "org_map": lambda: org_map(inputs["facilities"], inputs["orgs"], params.asof),
         "reduced": lambda: keep(reduce_facts(inputs["facts"], inputs["concept_map"], limit)),
         "per_entity": lambda: resolve_reduced(st["reduced"]),
         "registrations": lambda: registrations_reduced(st["reduced"], st["org_map"], limit),
