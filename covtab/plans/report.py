@@ -50,7 +50,7 @@ from covtab.operators.measure import (
 from covtab.operators.resolve import RESOLVED_COLUMNS, reduce_facts, resolve_reduced
 from covtab.params import JobParams
 from covtab.plans.quality import freshness, quality_report
-from covtab.session import materialize
+from covtab.session import materialize, one_partition_if_small
 
 
 class Lazy(Mapping):
@@ -101,6 +101,9 @@ def build_report(inputs: dict, params: JobParams, materialise: bool = True) -> R
     DataFrame.
     """
     keep = materialize if materialise else (lambda df: df)
+    # The cube is at most orgs x categories^2 rows; once materialised and its
+    # size checked, the per-org tail runs in one partition without shuffles.
+    tail = (lambda df: one_partition_if_small(df, params.broadcast_max_rows)) if materialise else (lambda df: df)
     limit = params.broadcast_max_rows
     p = params.parity
     st: Lazy
@@ -131,11 +134,11 @@ def build_report(inputs: dict, params: JobParams, materialise: bool = True) -> R
     else:
         # One job from the reduced facts to every per-org count.
         stage_builders.update({
-            "cube": lambda: keep(registration_cube(
+            "cube": lambda: tail(keep(registration_cube(
                 st["registrations"],
                 resolved_living(st["per_entity"]).select("entity_id", "category"),
                 entity_category(inputs["asset"]).select("entity_id", "category"),
-            )),
+            ))),
             "population": lambda: cube_population(st["cube"]),
             "cells_primary": lambda: cube_cells(st["cube"], "p"),
             "cells_secondary": lambda: cube_cells(st["cube"], "s"),

@@ -89,3 +89,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     measured sizes.
     """
     return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def one_partition_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Move a small, already materialised table into one partition, after
+    checking its row count.
+
+    A single-partition input satisfies every distribution an aggregation or
+    join asks for, so the many small steps that follow (pivot, grouping sets,
+    joins of per-org tables) run without further shuffles. Above the bound
+    the table keeps its partitioning.
+    """
+    return df.coalesce(1) if has_at_most(df, max_rows) else df
