@@ -13,8 +13,9 @@ Physical shape (see README "Plan"):
 4. Population, cells, coverage, cross-tab, totals, suppression and rates
    are all small aggregations over the cube.
 
-The reduced facts and the cube are materialised once (checkpoint in the
-session's shared checkpoint folder when one is set, else persisted). With
+The reduced facts (as a parquet table) and the cube (checkpoint) are
+materialised once in the session's shared checkpoint folder when one is
+set, else persisted. With
 ``parity=True`` the row-level attribution path is used instead, since
 duplicate and null-category asset rows then count.
 """
@@ -101,6 +102,7 @@ def build_report(inputs: dict, params: JobParams, materialise: bool = True) -> R
     DataFrame.
     """
     keep = materialize if materialise else (lambda df: df)
+    keep_table = (lambda df, name: materialize(df, as_table=name)) if materialise else (lambda df, name: df)
     # The cube is at most orgs x categories^2 rows; once materialised and its
     # size checked, the per-org tail runs in one partition without shuffles.
     tail = (lambda df: one_partition_if_small(df, params.broadcast_max_rows)) if materialise else (lambda df: df)
@@ -111,7 +113,7 @@ def build_report(inputs: dict, params: JobParams, materialise: bool = True) -> R
 
     stage_builders = {
         "org_map": lambda: org_map(inputs["facilities"], inputs["orgs"], params.asof),
-        "reduced": lambda: keep(reduce_facts(inputs["facts"], inputs["concept_map"], limit)),
+        "reduced": lambda: keep_table(reduce_facts(inputs["facts"], inputs["concept_map"], limit), "reduced"),
         "per_entity": lambda: resolve_reduced(st["reduced"]),
         "registrations": lambda: registrations_reduced(st["reduced"], st["org_map"], limit),
         "coverage_primary": lambda: coverage(st["population"], known_by_org(st["cells_primary"]), p),

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -55,20 +56,31 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, as_table: str | None = None) -> DataFrame:
     """Compute ``df`` once and cut its lineage.
 
     With a checkpoint folder (the shared folder in ``spark.checkpoint.dir`` on
     a cluster) the rows are written there, so losing an executor later costs
-    a re-read, not a re-run of the whole upstream plan. The output
-    partitioning is kept, so joins on the same key do not shuffle again.
+    a re-read, not a re-run of the whole upstream plan:
+
+    * ``as_table=None``: ``checkpoint()``; the output partitioning is kept,
+      so a later join or aggregation on the same key does not shuffle again.
+    * ``as_table="name"``: written as a parquet table in a fresh sub-folder
+      and read back; compressed and columnar, so each later reader scans only
+      the columns it needs. Better for large stages whose partitioning is not
+      reused.
+
     Without a folder the stage is persisted to memory and disk instead.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() or df.sparkSession.conf.get("spark.checkpoint.dir", None):
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    folder = ensure_checkpoint_dir(spark)
+    if as_table:
+        path = f"{folder.rstrip('/')}/{as_table}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+    return df.checkpoint(eager=True)
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
