@@ -41,7 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the checkpoint folder named by the session.
 
     ``spark.checkpoint.dir`` wins when the cluster sets it. Only when nothing
-    is set (local tests and benchmarks) a fresh scratch folder is created.
+    is set and the session is local (tests, benchmarks) a fresh scratch
+    folder is created; on a cluster a machine-local folder would not be seen
+    by other executors, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if fallback is None and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     path = fallback or tempfile.mkdtemp(prefix="covtab-ckpt-")
     sc.setCheckpointDir(path)
     return path
