@@ -45,11 +45,15 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     folder is created; on a cluster a machine-local folder would not be seen
     by other executors, so an unset folder is an error there.
     """
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: the server uses spark.checkpoint.dir itself
+        if conf_dir:
+            return conf_dir
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
@@ -60,6 +64,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return path
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # not available under Spark Connect
+        return None
+
+
+def has_checkpoint_dir(spark: SparkSession) -> bool:
+    sc = _context(spark)
+    return bool((sc is not None and sc.getCheckpointDir()) or spark.conf.get("spark.checkpoint.dir", None))
+
+
 def materialize(df: DataFrame, as_table: str | None = None) -> DataFrame:
     """Compute ``df`` once and cut its lineage.
 
@@ -77,7 +93,7 @@ def materialize(df: DataFrame, as_table: str | None = None) -> DataFrame:
     Without a folder the stage is persisted to memory and disk instead.
     """
     spark = df.sparkSession
-    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+    if not has_checkpoint_dir(spark):
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     folder = ensure_checkpoint_dir(spark)
     if as_table:
