@@ -1,5 +1,6 @@
 """Wiring of the operators into the published report, publishing, and checks."""
 
+from covtab.plans.job import run_job
 from covtab.plans.report import Report, build_report
 
-__all__ = ["Report", "build_report"]
+__all__ = ["Report", "build_report", "run_job"]
