@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covtab.functions.disclosure import rate, rate_text, rounded_or_null
+from covtab.functions.disclosure import rate, rounded_or_null
 from covtab.params import CATEGORY_DOMAIN, SUPPRESSED, TOTAL_CODE, TOTAL_NAME
 
 LABELS = ("org_name", "org_code")
@@ -30,7 +30,7 @@ def with_total(df: DataFrame, measures: Sequence[str], labels: Sequence[str] = L
     """
     labels = list(labels)
     g = df.groupingSets([labels, []], *labels).agg(
-        *[F.sum(m).cast("long").alias(m) for m in measures], F.grouping_id().alias("_g"))
+        *[F.expr(f"CAST(sum(`{m}`) AS BIGINT) AS `{m}`") for m in measures], F.grouping_id().alias("_g"))
     total = F.col("_g") > 0
     fills = [TOTAL_NAME, TOTAL_CODE] + [TOTAL_NAME] * max(0, len(labels) - 2)
     out = []
@@ -72,14 +72,13 @@ def rate_crosstab(t3a: DataFrame, t2: DataFrame, domain=CATEGORY_DOMAIN, parity:
 
 def to_text(df: DataFrame, counts: Sequence[str] = (), rates: Sequence[str] = (), rc: str = SUPPRESSED) -> DataFrame:
     """Published text form: every column a string; a null count or rate is ``rc``."""
+    rc_sql = "'" + rc.replace("'", "''") + "'"
     cols = []
     for c in df.columns:
-        if c in counts:
-            cols.append(F.coalesce(F.col(c).cast("string"), F.lit(rc)).alias(c))
-        elif c in rates:
-            cols.append(rate_text(c, rc).alias(c))
+        if c in counts or c in rates:
+            cols.append(F.expr(f"coalesce(CAST(`{c}` AS STRING), {rc_sql}) AS `{c}`"))
         else:
-            cols.append(F.col(c).cast("string").alias(c))
+            cols.append(F.expr(f"CAST(`{c}` AS STRING) AS `{c}`"))
     return df.select(*cols)
 
 
