@@ -13,9 +13,11 @@ Physical shape (see README "Plan"):
 4. Population, cells, coverage, cross-tab, totals, suppression and rates
    are all small aggregations over the cube.
 
-The reduced facts (as a parquet table) and the cube (checkpoint) are
-materialised once in the session's shared checkpoint folder when one is
-set, else persisted. With
+The reduced facts and the cube are materialised once, as parquet tables in
+the session's shared checkpoint folder when one is set (else persisted).
+For the cube this also gives Spark its true (tiny) size, so the joins of
+the per-org tables are broadcast by Spark's own size threshold and the
+single-partition tail keeps its partitioning. With
 ``parity=True`` the row-level attribution path is used instead, since
 duplicate and null-category asset rows then count.
 """
@@ -136,11 +138,11 @@ def build_report(inputs: dict, params: JobParams, materialise: bool = True) -> R
     else:
         # One job from the reduced facts to every per-org count.
         stage_builders.update({
-            "cube": lambda: tail(keep(registration_cube(
+            "cube": lambda: tail(keep_table(registration_cube(
                 st["registrations"],
                 resolved_living(st["per_entity"]).select("entity_id", "category"),
                 entity_category(inputs["asset"]).select("entity_id", "category"),
-            ))),
+            ), "cube")),
             "population": lambda: cube_population(st["cube"]),
             "cells_primary": lambda: cube_cells(st["cube"], "p"),
             "cells_secondary": lambda: cube_cells(st["cube"], "s"),
