@@ -99,7 +99,7 @@ def materialize(df: DataFrame, as_table: str | None = None) -> DataFrame:
     if as_table:
         path = f"{folder.rstrip('/')}/{as_table}-{uuid.uuid4().hex}"
         df.write.parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
     return df.checkpoint(eager=True)
 
 
