@@ -15,9 +15,9 @@ Physical shape (see README "Plan"):
 
 The reduced facts (as a parquet table) and the cube (checkpoint) are
 materialised once in the session's shared checkpoint folder when one is
-set, else persisted. With
-``parity=True`` the row-level attribution path is used instead, since
-duplicate and null-category asset rows then count.
+set, else persisted; the cube is then size-checked and moved into one
+partition. With ``parity=True`` the row-level attribution path is used
+instead, since duplicate and null-category asset rows then count.
 """
 
 from __future__ import annotations
