@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from covtab.session import ensure_checkpoint_dir, has_at_most
+from covtab.session import ensure_checkpoint_dir, has_at_most, materialize
 
 SORT_KEYS = {"org_reference": ("org_code",)}
 DEFAULT_SORT = ("org_name",)
@@ -47,10 +47,13 @@ def published_order(df: DataFrame, keys: Sequence[str] = DEFAULT_SORT, rank: str
     Distributed: the sort range-partitions the rows; each partition numbers
     its own rows and adds the row count of the partitions before it (a table
     with one row per partition, so its size is bounded by the partition
-    count). Nothing is gathered into one task.
+    count). Nothing is gathered into one task. The range-partitioned rows are
+    materialised first: range bounds come from sampling, so two separate
+    evaluations could split the rows differently, and both the numbering and
+    the counting must see the same partitions.
     """
     order = [F.col(k).asc_nulls_first() for k in keys]
-    ranged = df.orderBy(*order).withColumn("_pid", F.spark_partition_id())
+    ranged = materialize(df.orderBy(*order).withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn("_lr", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -90,11 +90,14 @@ def materialize(df: DataFrame, as_table: str | None = None) -> DataFrame:
       the columns it needs. Better for large stages whose partitioning is not
       reused.
 
-    Without a folder the stage is persisted to memory and disk instead.
+    Without a folder the stage is persisted to memory and disk instead, and
+    filled at once, so every later reader sees the same rows.
     """
     spark = df.sparkSession
     if not has_checkpoint_dir(spark):
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out.count()
+        return out
     folder = ensure_checkpoint_dir(spark)
     if as_table:
         path = f"{folder.rstrip('/')}/{as_table}-{uuid.uuid4().hex}"
