@@ -2,5 +2,6 @@
 
 from covtab.plans.job import run_job
 from covtab.plans.report import Report, build_report
+from covtab.plans.views import register_views
 
-__all__ = ["Report", "build_report", "run_job"]
+__all__ = ["Report", "build_report", "register_views", "run_job"]

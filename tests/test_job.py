@@ -22,3 +22,16 @@ def test_run_job_publishes_every_table(spark):
     names = [r.org_name for r in t2.collect()]
     assert names == sorted(names) and "TOTAL" in names
     assert res["checks"]["freshness"].first().ok is True
+
+
+def test_register_views_for_sql(spark):
+    from covtab.plans import build_report
+    from covtab.plans.views import register_views
+
+    rep = build_report(demo_inputs(spark, "/root/testdata/sf0.001"), JobParams(asof=DEMO_ASOF), materialise=False)
+    views = register_views(rep, names=["population", "coverage_secondary", "table_2"])
+    assert views == ["covtab_population", "covtab_coverage_secondary", "covtab_table_2"]
+    alive = spark.sql("SELECT SUM(alive) AS a FROM covtab_coverage_secondary").first().a
+    total = spark.sql("SELECT alive FROM covtab_table_2 WHERE org_name = 'TOTAL'").first().alive
+    expected = (alive + 2) // 5 * 5 if alive > 7 else None
+    assert total == (str(expected) if expected is not None else "*")
