@@ -62,6 +62,19 @@ FROM judged
 """
 
 
+_EXACT_DEDUP = f"""
+WITH texts AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+           sha256(regexp_replace(coalesce(text, ''), '{SPACE_RUN}', '', 'g')) AS text_sha256
+    FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER best = 1 AS kept, text_sha256
+FROM texts WINDOW best AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id)
+"""
+
+
 ORACLE = {
+    "op4_exact_dedup": _EXACT_DEDUP,
     "op9_quality_rules": _quality(),
 }

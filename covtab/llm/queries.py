@@ -6,16 +6,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covtab.llm import quality_rules
+from covtab.llm import exact_dedup, pattern_packing, quality_rules, simhash
 from covtab.llm.common import read_table
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal texts of each document, and whether it stays."""
+    groups = exact_dedup.duplicate_groups(read_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of each document and the group that links lead to."""
+    groups = simhash.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of each document."""
     return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each piece of each document in the packed sequences."""
+    return pattern_packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_exact_dedup": op4_exact_dedup,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_pattern_packing": op10_pattern_packing,
 }
