@@ -6,10 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covtab.llm import exact_dedup, pattern_packing, quality_rules, simhash
+from covtab.llm import exact_dedup, pattern_packing, quality_rules, simhash, substring_dedup
 from covtab.llm.common import read_table
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of each document, less those in repeated windows."""
+    return substring_dedup.removed_words(read_table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of equal texts of each document, and whether it stays."""
     groups = exact_dedup.duplicate_groups(read_table(spark, sf_dir, "documents"))
@@ -34,6 +39,7 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
