@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covtab.llm import exact_dedup, pattern_packing, quality_rules, simhash, substring_dedup
+from covtab.llm import exact_dedup, pattern_packing, piece_bpe, quality_rules, simhash, substring_dedup
 from covtab.llm.common import read_table
 
 
@@ -15,6 +15,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removed_words(read_table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of each document and of the text decoded from them."""
+    return piece_bpe.digests(read_table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of equal texts of each document, and whether it stays."""
     groups = exact_dedup.duplicate_groups(read_table(spark, sf_dir, "documents"))
@@ -40,6 +45,7 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
