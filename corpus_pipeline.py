@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covtab.llm import quality_rules
+from covtab.llm import exact_dedup, pattern_packing, quality_rules, secret_scan, simhash
 from covtab.llm.common import cut_lineage, read_table
 
 
@@ -13,7 +13,33 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality rules", quality)]
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return exact_dedup.drop_duplicates(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each near-duplicate group."""
+    return simhash.keep_representatives(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts covered."""
+    return secret_scan.redact(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of each piece of each document in the packed sequences."""
+    return pattern_packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("exact dedup", exact),
+    ("SimHash near-dedup", near),
+    ("secret scans", secrets),
+    ("best-fit packing", packing),
+]
 
 #: The later stages cannot be written in SQL; tests compare them with brute force.
 ORACLE_SQL = None

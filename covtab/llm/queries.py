@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covtab.llm import exact_dedup, pattern_packing, piece_bpe, quality_rules, simhash, substring_dedup
+from covtab.llm import (
+    exact_dedup, pattern_packing, piece_bpe, quality_rules, secret_scan, simhash, substring_dedup,
+)
 from covtab.llm.common import read_table
 
 
@@ -32,6 +34,13 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of each document."""
+    found = secret_scan.scan(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_random",
+                        F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of each document."""
     return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
@@ -48,6 +57,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_pattern_packing": op10_pattern_packing,
 }
