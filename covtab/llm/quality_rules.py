@@ -151,4 +151,7 @@ def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
     """The rows of ``docs`` that pass, with their own columns only."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     judged = judge(docs.select(whole.alias("_row"), F.col(f"`{text}`").alias("_judged")), "_judged", rules)
-    return judged.where("kept").select("_row.*")
+    # A row number in the projection keeps the filter above it; pushed below,
+    # the counts would be written out again wherever the filter uses them.
+    numbered = judged.select("_row", "kept", F.monotonically_increasing_id().alias("_number"))
+    return numbered.where(F.col("kept") & (F.col("_number") >= 0)).select("_row.*")
