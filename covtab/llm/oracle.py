@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from covtab.llm import quality_rules
+from covtab.llm import lm_scoring, quality_rules
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -74,7 +74,60 @@ FROM texts WINDOW best AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_i
 """
 
 
+def _lm_scoring() -> str:
+    # c: counts, own: those of the document itself, n: tokens; _t target, _b background
+    alpha, mu = lm_scoring.ALPHA, lm_scoring.MU
+    return f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS body,
+           doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good FROM documents
+), lists AS (
+    SELECT row_no, doc_id, good,
+           list_append(list_filter(string_split_regex(body, '{SPACE_RUN}'), lambda w: w <> ''), ' end') AS words FROM docs
+), tokens AS (
+    SELECT row_no, good, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM lists
+), vocabulary AS (
+    SELECT word FROM tokens GROUP BY word HAVING count(*) FILTER (good) >= {lm_scoring.MIN_COUNT} OR word = ' end'
+), mapped AS (
+    SELECT row_no, good, pos, coalesce(v.word, ' unknown') AS word
+    FROM tokens t LEFT JOIN vocabulary v ON t.word = v.word
+), pairs AS (
+    SELECT *, lag(word, 1, ' start') OVER (PARTITION BY row_no ORDER BY pos) AS prev FROM mapped
+), totals AS (
+    SELECT count(*)::DOUBLE AS n_b, count(*) FILTER (good)::DOUBLE AS n_t, (SELECT count(*) + 1 FROM vocabulary) AS k FROM mapped
+), c1 AS (
+    SELECT word, count(*) AS b, count(*) FILTER (good) AS t FROM mapped GROUP BY word
+    UNION ALL SELECT ' start', count(*), count(*) FILTER (good) FROM docs
+), c2 AS (
+    SELECT prev, word, count(*) AS b, count(*) FILTER (good) AS t FROM pairs GROUP BY ALL
+), own1 AS (
+    SELECT row_no, word, count(*) AS n FROM mapped GROUP BY ALL UNION ALL SELECT row_no, ' start', 1 FROM docs
+), own2 AS (
+    SELECT row_no, prev, word, count(*) AS n FROM pairs GROUP BY ALL
+), size AS (
+    SELECT row_no, count(*) AS n FROM mapped GROUP BY row_no
+), counts AS (
+    SELECT p.row_no, k, n_t / n_b AS scale,
+           w.t - p.good::INT * ow.n AS w_t, v.t - p.good::INT * ov.n AS v_t, c2.t - p.good::INT * o2.n AS c_t, n_t - p.good::INT * s.n AS n_t,
+           w.b - ow.n AS w_b, v.b - ov.n AS v_b, c2.b - o2.n AS c_b, n_b - s.n AS n_b
+    FROM pairs p CROSS JOIN totals JOIN size s USING (row_no)
+    JOIN c1 w ON w.word = p.word JOIN c1 v ON v.word = p.prev JOIN c2 ON c2.prev = p.prev AND c2.word = p.word
+    JOIN own1 ow ON ow.row_no = p.row_no AND ow.word = p.word JOIN own1 ov ON ov.row_no = p.row_no AND ov.word = p.prev
+    JOIN own2 o2 ON o2.row_no = p.row_no AND o2.prev = p.prev AND o2.word = p.word
+), losses AS (
+    SELECT row_no, count(*) AS n_tokens,
+           avg(-ln((c_t + {mu} * ((w_t + {alpha}) / (n_t + {alpha} * k))) / (v_t + {mu}))) AS target_loss,
+           avg(-ln((scale * c_b + {mu} * ((scale * w_b + {alpha}) / (scale * n_b + {alpha} * k))) / (scale * v_b + {mu}))) AS background_loss
+    FROM counts GROUP BY row_no
+)
+SELECT doc_id, n_tokens, round(target_loss * 1e6)::BIGINT AS target_loss, round(background_loss * 1e6)::BIGINT AS background_loss,
+       round((target_loss - background_loss) * 1e6)::BIGINT AS difference
+FROM losses JOIN docs USING (row_no)
+"""
+
+
 ORACLE = {
+    "op1_lm_scoring": _lm_scoring(),
     "op4_exact_dedup": _EXACT_DEDUP,
     "op9_quality_rules": _quality(),
 }

@@ -7,11 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covtab.llm import (
-    exact_dedup, pattern_packing, piece_bpe, quality_rules, secret_scan, simhash, substring_dedup,
+    exact_dedup, lm_scoring, pattern_packing, piece_bpe, quality_rules, secret_scan, simhash, substring_dedup,
 )
 from covtab.llm.common import read_table
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Losses of each document, in millionths of a nat, under models of the
+    documents labelled good and of all documents."""
+    good = read_table(spark, sf_dir, "labels").where("quality = 1")
+    micro = lambda c: F.round(F.col(c) * 1e6).cast("long").alias(c)
+    return lm_scoring.score(read_table(spark, sf_dir, "documents"), good).select(
+        "doc_id", "n_tokens", *map(micro, ("target_loss", "background_loss", "difference")))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of each document, less those in repeated windows."""
     return substring_dedup.removed_words(read_table(spark, sf_dir, "documents"))
@@ -53,6 +62,7 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,

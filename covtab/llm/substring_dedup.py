@@ -32,13 +32,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covtab.llm.common import shard_count
+from covtab.llm.exchange import ROWS, answers_of, edges_of, rows_of, sent, unpack, word_hashes
 
 #: Production parameter: words of a window. Blocks are the longest of which
 #: every window holds one.
@@ -49,8 +49,6 @@ SHARD_BYTES = 32 << 20
 #: Hash bits of a block.
 BLOCK_BITS = 48
 
-_ROWS = "bucket int, shard int, level int, data binary"
-
 
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()  # bytes split at the six spaces only
@@ -93,7 +91,7 @@ class Shard:
             found = words(text.as_py())
             sizes.append(len(found))
             if found:
-                hashes.append(pd.util.hash_array(np.array(found, dtype=object), categorize=False))
+                hashes.append(word_hashes(found))
         self.hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         self.sizes = np.array(sizes, dtype=np.int64)
         starts = np.cumsum(self.sizes) - self.sizes
@@ -114,36 +112,6 @@ class Shard:
         return starts, rolling(self.hashes, WINDOW)[starts], check >> np.uint64(32)
 
 
-def _pack(*columns: np.ndarray) -> bytes:
-    """Unsigned 64-bit columns of one length, compressed byte by byte of their places."""
-    planes = np.concatenate([c.astype("<u8").view(np.uint8).reshape(-1, 8).T.ravel() for c in columns])
-    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True) + len(planes).to_bytes(8, "little")
-
-
-def _unpack(data: bytes, columns: int) -> list[np.ndarray]:
-    size = int.from_bytes(data[-8:], "little")
-    planes = np.frombuffer(pa.decompress(data[:-8], size, codec="zstd", asbytes=True), np.uint8)
-    return [np.ascontiguousarray(p.reshape(8, -1).T).view("<u8").ravel() for p in np.split(planes, columns)]
-
-
-def _steps(keys: np.ndarray) -> np.ndarray:
-    return np.diff(keys, prepend=np.uint64(0))
-
-
-def _sent(keys: np.ndarray, extra: np.ndarray, bits: int, buckets: int) -> list[tuple[int, bytes]]:
-    """Sorted ``keys`` of ``bits`` bits, with what goes with each, by range."""
-    width = -(-(1 << bits) // buckets)
-    edges = np.searchsorted(keys, np.array([min(b * width, (1 << bits) - 1) for b in range(1, buckets)], np.uint64))
-    ends = [0, *edges.tolist(), keys.size]
-    return [(b, _pack(_steps(keys[i:j]), extra[i:j])) for b, (i, j) in enumerate(zip(ends, ends[1:])) if i < j]
-
-
-def _rows(rows: list[tuple], names: tuple[str, ...] = ("bucket", "shard", "level", "data")) -> pa.Table:
-    types = {"bucket": pa.int32(), "shard": pa.int32(), "level": pa.int32(), "data": pa.binary()}
-    columns = list(zip(*rows)) if rows else [[]] * len(names)
-    return pa.table({n: pa.array(c, types[n]) for n, c in zip(names, columns)})
-
-
 def _distinct(keys: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places in the order of (key, check), and the number of the distinct pair at each."""
     order = np.lexsort((check, keys)) if check.any() else np.argsort(keys, kind="stable")
@@ -177,11 +145,6 @@ def _bits(answers: list[tuple[int, bytes]], sent: list[tuple[int, int]], total:
     return np.concatenate(found).astype(bool) if found else np.zeros(total, dtype=bool)
 
 
-def _answers(table: pa.Table, level: int) -> list[tuple[int, bytes]]:
-    rows = zip(table.column("level").to_pylist(), table.column("bucket").to_pylist(), table.column("data").to_pylist())
-    return [(bucket, data) for at, bucket, data in rows if at == level]
-
-
 _BLOCKS, _CANDIDATES, _WINDOWS = 1, 2, 3
 
 
@@ -199,13 +162,11 @@ class _Level:
         self.bits = bits
 
     def sent(self, buckets: int) -> list[tuple[int, bytes]]:
-        return _sent(self.keys, (self.check << np.uint64(2)) | self.flags, self.bits, buckets)
+        return sent(self.keys, [(self.check << np.uint64(2)) | self.flags], self.bits, buckets)
 
     def found(self, answers: list[tuple[int, bytes]], buckets: int) -> np.ndarray:
         """For each place: whether its key was answered yes."""
-        width = -(-(1 << self.bits) // buckets)
-        owner = np.searchsorted(np.array([min(b * width, (1 << self.bits) - 1) for b in range(1, buckets)], np.uint64),
-                                self.keys, side="right")
+        owner = np.searchsorted(edges_of(self.bits, buckets), self.keys, side="right")
         sizes = np.bincount(owner, minlength=buckets)
         yes = _bits(answers, [(b, int(n)) for b, n in enumerate(sizes) if n], self.n)
         out = np.zeros(self.order.size, dtype=bool)
@@ -230,11 +191,11 @@ def _match(bucket: tuple, table: pa.Table) -> pa.Table:
         if at == _CANDIDATES:
             rows.append((bucket[0].as_py(), shard, at, data))
             continue
-        steps, extra = _unpack(data, 2)
+        steps, extra = unpack(data, 2)
         level = at
         parts.append((shard, np.cumsum(steps), extra >> np.uint64(2), extra & np.uint64(1), (extra >> np.uint64(1)) & np.uint64(1)))
     rows += [(bucket[0].as_py(), shard, level, data) for shard, data in _repeats(parts)]
-    return _rows(rows)
+    return rows_of(rows)
 
 
 def mark_repeats(docs: DataFrame, doc_id: str, text: str, finish, schema: str) -> DataFrame:
@@ -248,28 +209,28 @@ def mark_repeats(docs: DataFrame, doc_id: str, text: str, finish, schema: str) -
 
     def probe(key: tuple, table: pa.Table) -> pa.Table:
         _, level = _block_level(Shard(table))
-        return _rows([(b, key[0].as_py(), _BLOCKS, data) for b, data in level.sent(shards)])
+        return rows_of([(b, key[0].as_py(), _BLOCKS, data) for b, data in level.sent(shards)])
 
     def extend(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         shard = Shard(table)
         starts, level = _block_level(shard)
         hit = np.zeros(shard.hashes.size + BLOCK, dtype=bool)
-        hit[starts] = level.found(_answers(answers, _BLOCKS), shards)
+        hit[starts] = level.found(answers_of(answers, _BLOCKS), shards)
         inner = np.arange(shard.hashes.size) + (-shard.at) % BLOCK  # start of the first block from each word on
         candidate = (shard.left >= WINDOW) & hit[inner]
         me = key[0].as_py()
         marks = pa.compress(np.packbits(candidate).tobytes(), codec="zstd", asbytes=True)
         _, found = _window_level(shard, candidate)
-        return _rows([(shards + me, me, _CANDIDATES, marks)] + [(b, me, _WINDOWS, data) for b, data in found.sent(shards)])
+        return rows_of([(shards + me, me, _CANDIDATES, marks)] + [(b, me, _WINDOWS, data) for b, data in found.sent(shards)])
 
     def remove(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         shard = Shard(table)
         n = shard.hashes.size
-        marks = [data for _, data in _answers(answers, _CANDIDATES)]
+        marks = [data for _, data in answers_of(answers, _CANDIDATES)]
         plain = pa.decompress(marks[0], -(-n // 8), codec="zstd", asbytes=True) if n else b""
         candidate = np.unpackbits(np.frombuffer(plain, np.uint8), count=n).astype(bool)
         starts, level = _window_level(shard, candidate)
-        repeated = starts[level.found(_answers(answers, _WINDOWS), shards)]
+        repeated = starts[level.found(answers_of(answers, _WINDOWS), shards)]
         change = np.bincount(repeated, minlength=n + WINDOW + 1) - np.bincount(repeated + WINDOW, minlength=n + WINDOW + 1)
         removed = np.cumsum(change)[:n] > 0
         rows = []
@@ -285,9 +246,9 @@ def mark_repeats(docs: DataFrame, doc_id: str, text: str, finish, schema: str) -
     out = StructType.fromDDL(f"doc_id {id_type}, {schema}")
     arrow_schema = to_arrow_schema(out)
     by_shard = pairs.groupBy("shard")
-    hits = by_shard.applyInArrow(probe, _ROWS).groupBy("bucket").applyInArrow(_match, _ROWS)
-    windows = by_shard.cogroup(hits.groupBy("shard")).applyInArrow(extend, _ROWS)
-    repeats = windows.groupBy("bucket").applyInArrow(_match, _ROWS)
+    hits = by_shard.applyInArrow(probe, ROWS).groupBy("bucket").applyInArrow(_match, ROWS)
+    windows = by_shard.cogroup(hits.groupBy("shard")).applyInArrow(extend, ROWS)
+    repeats = windows.groupBy("bucket").applyInArrow(_match, ROWS)
     return by_shard.cogroup(repeats.groupBy("shard")).applyInArrow(remove, out)
 
 
