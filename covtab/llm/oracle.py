@@ -126,8 +126,40 @@ FROM losses JOIN docs USING (row_no)
 """
 
 
+# The given messages have no quote marks of their own, so what a mail quotes at
+# level 1 is the text of the turn before it.
+_QUOTATIONS = f"""
+WITH RECURSIVE lines AS (
+    SELECT DISTINCT conv_id, turn, line, count(*) OVER (PARTITION BY conv_id, turn, line) AS n
+    FROM (SELECT conv_id, turn, lower(trim(regexp_replace(unnest(string_split(coalesce(text, ''), chr(10))), '{SPACE_RUN}', ' ', 'g'))) AS line
+          FROM conversations)
+    WHERE line <> ''
+), originals AS (
+    SELECT conv_id, line, min(turn) AS origin FROM lines GROUP BY ALL
+), quoted AS (
+    SELECT l.conv_id, l.turn + 1 AS turn, l.n, o.origin FROM lines l JOIN originals o USING (conv_id, line)
+), parents AS (
+    SELECT conv_id, turn, arg_max(origin, votes * 1000000 + origin) AS parent, sum(votes)::BIGINT AS n
+    FROM (SELECT conv_id, turn, origin, sum(n)::BIGINT AS votes FROM quoted GROUP BY ALL) GROUP BY ALL
+), messages AS (
+    SELECT m.conv_id, m.turn, m.role, m.text, p.parent, coalesce(p.n, 0) AS n
+    FROM conversations m LEFT JOIN parents p ON p.conv_id = m.conv_id AND p.turn = m.turn
+), paths AS (
+    SELECT conv_id, turn, turn::VARCHAR AS path FROM messages WHERE parent IS NULL
+    UNION ALL
+    SELECT m.conv_id, m.turn, p.path || '/' || m.turn FROM messages m JOIN paths p ON p.conv_id = m.conv_id AND p.turn = m.parent
+), plain AS (
+    SELECT *, regexp_replace(coalesce(text, ''), '^([ \t]*\n)+|(\n[ \t]*)+$', '', 'g') AS own FROM messages
+)
+SELECT conv_id, turn, role, parent::VARCHAR AS parent_turn, path, n AS n_quoted, n AS n_linked, sha256(own) AS text_sha256,
+       sha256('<|' || coalesce(role, 'user') || '|>' || chr(10) || own || chr(10) || '<|end|>' || chr(10)) AS chat_sha256
+FROM plain JOIN paths USING (conv_id, turn)
+"""
+
+
 ORACLE = {
     "op1_lm_scoring": _lm_scoring(),
     "op4_exact_dedup": _EXACT_DEDUP,
+    "op6_quotation_linking": _QUOTATIONS,
     "op9_quality_rules": _quality(),
 }

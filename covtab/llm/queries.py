@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covtab.llm import (
-    exact_dedup, lm_scoring, pattern_packing, piece_bpe, quality_rules, secret_scan, simhash, substring_dedup,
+    exact_dedup, lm_scoring, matrix_output, pattern_packing, piece_bpe, quality_rules, quotation_links, secret_scan, simhash,
+    substring_dedup,
 )
 from covtab.llm.common import read_table
 
@@ -43,6 +44,31 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _mails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as mails: above its own text each message quotes the
+    one before it, and at a second level the one before that."""
+    messages = read_table(spark, sf_dir, "conversations")
+    text = F.coalesce("text", F.lit(""))
+    quote = lambda mark, c: F.regexp_replace(c, "(?m)^", mark)
+    back = lambda n: messages.select("conv_id", (F.col("turn") + n).alias("turn"), text.alias(f"_{n}"))
+    return messages.join(back(1), ["conv_id", "turn"], "left").join(back(2), ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", "role", F.concat_ws("\n", quote("> > ", F.col("_2")), quote("> ", F.col("_1")), text).alias("text"))
+
+
+def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each message of the mails, its parent and path, and its text without quotes."""
+    linked = quotation_links.formatted(quotation_links.link_replies(_mails(spark, sf_dir)))
+    return linked.select("conv_id", "turn", "role", F.col("parent_turn").cast("string"), F.array_join("path", "/").alias("path"),
+                         "n_quoted", "n_linked", F.sha2("text", 256).alias("text_sha256"), F.sha2("chat", 256).alias("chat_sha256"))
+
+
+def op7_matrix_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the packed matrix, ids and positions as checksums."""
+    rows = matrix_output.pack_rows(read_table(spark, sf_dir, "documents"))
+    return rows.select("row_id", F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"),
+                       "cu_seqlens", "segments")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets of each document."""
     found = secret_scan.scan(read_table(spark, sf_dir, "documents"))
@@ -67,6 +93,8 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_quotation_linking": op6_quotation_linking,
+    "op7_matrix_output": op7_matrix_output,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_pattern_packing": op10_pattern_packing,
