@@ -108,6 +108,7 @@ class Codec:
         self.shown = [b""] * size
         for i in normal:
             self.shown[i] = sp.id_to_piece(i).replace(BLANK, " ").encode()
+        self.blank_first = {i for i in normal if self.shown[i].startswith(b" ")}
         for b, i in enumerate(self.byte_ids.tolist()):
             self.shown[i] = bytes([b])
         self.shown[sp.unk_id()] = " ⁇ ".encode()
@@ -244,13 +245,15 @@ class Codec:
         return b"".join(map(self.shown.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids, without the blank that encoding puts before it."""
-        return self.as_text(self.decode_bytes(ids))
+        """The text of ids, without the blank that encoding puts before it; a
+        blank that is a byte of its own is not that one."""
+        first = next((i for i in ids if self.shown[i]), None)
+        return self.as_text(self.decode_bytes(ids), first in self.blank_first)
 
     @staticmethod
-    def as_text(shown: bytes) -> str:
-        text = shown.decode("utf-8", "each_byte")
-        return text[1:] if text.startswith(" ") else text
+    def as_text(shown: bytes, blank_first: bool = True) -> str:
+        """Decoded bytes as text. What :meth:`encode` gives always begins with a piece that has the blank."""
+        return (shown[1:] if blank_first else shown).decode("utf-8", "each_byte")
 
 
 def _encoded(batch_texts: Iterator[str | None], codec: Codec, form: Callable[[list[int]], tuple],

@@ -44,8 +44,9 @@ from covtab.llm.exchange import ROWS, answers_of, edges_of, rows_of, sent, unpac
 #: every window holds one.
 WINDOW = 35
 BLOCK = (WINDOW + 1) // 2
-#: Text in a shard.
-SHARD_BYTES = 32 << 20
+#: Text in a shard: small enough for two tasks of 600 MB; larger executors take
+#: larger shards, of which fewer rows are exchanged.
+SHARD_BYTES = 8 << 20
 #: Hash bits of a block.
 BLOCK_BITS = 48
 
@@ -55,18 +56,20 @@ def words(text: str | None) -> list[bytes]:
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
+    """Mixes the bits of ``x`` in place."""
+    for shift, factor in ((32, 0x9E3779B97F4A7C15), (29, 0xBF58476D1CE4E5B9), (32, 1)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    return x
 
 
 def rolling(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of the ``n`` words from each position on; zero words past the end."""
 
     def joined(left: np.ndarray, right: np.ndarray, gap: int) -> np.ndarray:
-        shifted = np.zeros_like(right)
-        shifted[:max(0, right.size - gap)] = right[gap:]
-        return _mix(left * np.uint64(0xD6E8FEB86659FD93) + shifted)
+        out = left * np.uint64(0xD6E8FEB86659FD93)
+        out[:max(0, right.size - gap)] += right[gap:]
+        return _mix(out)
 
     whole, done, power, size = None, 0, hashes, 1
     parts = []
