@@ -25,11 +25,13 @@ def _sql(c) -> str:
     return f"`{c}`" if c.replace("_", "").isalnum() else f"({c})"
 
 
-def _checked_case(v: str, inside: str, upper: int) -> str:
-    # Negative counts and counts above ``upper`` fail the job, as in the
-    # original rule (every negative value failed there too).
+def _checked_case(v: str, inside: str, upper: int, given: str) -> str:
+    # Fractions, negative counts and counts above ``upper`` fail the job, as
+    # in the original rule (every negative value failed there too).
     return (
         f"CASE WHEN {v} IS NULL THEN NULL "
+        f"WHEN CAST({given} AS DOUBLE) <> rint(CAST({given} AS DOUBLE)) "
+        f"THEN raise_error(concat('suppress_round: not a whole number ', CAST({given} AS STRING))) "
         f"WHEN {v} < 0 THEN raise_error(concat('suppress_round: negative count ', CAST({v} AS STRING))) "
         f"WHEN {v} > {upper} THEN raise_error(concat('suppress_round: count above {upper}: ', CAST({v} AS STRING))) "
         f"ELSE {inside} END"
@@ -50,19 +52,20 @@ def rounded_or_null(c, base: int = ROUND_BASE, threshold: int = SUPPRESS_MAX, up
     v = f"CAST({_sql(c)} AS BIGINT)"
     inside = (f"CASE WHEN {v} = 0 THEN CAST(0 AS BIGINT) WHEN {v} <= {threshold} THEN CAST(NULL AS BIGINT) "
               f"ELSE {_nearest(v, base)} END")
-    return F.expr(_checked_case(v, inside, upper))
+    return F.expr(_checked_case(v, inside, upper, _sql(c)))
 
 
 def suppress_round(c, rc: str = SUPPRESSED, base: int = ROUND_BASE, threshold: int = SUPPRESS_MAX,
                    upper: int = UPPER_LIMIT) -> Column:
     """Published text of a count: ``'0'``, ``rc`` for ``1..threshold``, else
-    the count rounded to the nearest ``base``. Negative or above ``upper``
-    raises, as in the original rule. Null input gives null (fill first)."""
+    the count rounded to the nearest ``base``. A fraction, a negative count or
+    one above ``upper`` raises, as in the original rule. Null input gives null
+    (fill first)."""
     v = f"CAST({_sql(c)} AS BIGINT)"
     rc_sql = "'" + rc.replace("'", "''") + "'"
     inside = (f"CASE WHEN {v} = 0 THEN '0' WHEN {v} <= {threshold} THEN {rc_sql} "
               f"ELSE CAST({_nearest(v, base)} AS STRING) END")
-    return F.expr(_checked_case(v, inside, upper))
+    return F.expr(_checked_case(v, inside, upper, _sql(c)))
 
 
 def rate(num, den, decimals: int = RATE_DECIMALS) -> Column:

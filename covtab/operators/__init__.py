@@ -3,6 +3,7 @@ named columns; :mod:`covtab.plans.report` wires them into the full report."""
 
 from covtab.operators.attribute import (
     attribute,
+    attributed_cells,
     entity_category,
     keep_living,
     living,
@@ -17,6 +18,7 @@ from covtab.operators.disclose import (
     publish_crosstab,
     publish_rates,
     rate_crosstab,
+    rate_table,
     suppress_table,
     to_text,
     with_rate,
@@ -28,20 +30,25 @@ from covtab.operators.measure import (
     crosstab,
     cube_cells,
     cube_population,
+    cube_summary,
     known_by_org,
     population,
     registration_cube,
+    summary_coverage,
+    summary_crosstab,
 )
 from covtab.operators.observe import (
     candidate_observations,
     dedupe_observations,
     direct_codes,
+    known_concepts,
     mapped_codes,
     tag,
     union_observations,
 )
 from covtab.operators.resolve import (
     best_priority,
+    by_entity,
     drop_conflicts,
     latest_per_key,
     reduce_facts,

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covtab.operators.dims import facility_orgs
-from covtab.session import broadcast_if_small
 
 REGISTRATION_COLUMNS = ("entity_id", "facility_code", "org_code", "org_name")
 ATTRIBUTION_COLUMNS = ("entity_id", "facility_code", "org_code", "org_name", "category", "attributed_on", "source")
@@ -27,28 +26,33 @@ def keep_living(asset: DataFrame, living_ids: DataFrame) -> DataFrame:
     return asset.join(living_ids, "entity_id", "left_semi")
 
 
-def _register(pairs: DataFrame, mapping: DataFrame, max_broadcast_rows: int) -> DataFrame:
-    orgs = broadcast_if_small(facility_orgs(mapping), max_broadcast_rows)
-    return pairs.join(orgs, "facility_code", "left").select(*REGISTRATION_COLUMNS)
+def _register(pairs: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Pairs looked up in the map. Pairs without a facility are set aside
+    first: they match nothing, and there may be very many of them."""
+    orgs = facility_orgs(mapping)
+    named = pairs.where(F.col("facility_code").isNotNull()).join(orgs, "facility_code", "left")
+    nowhere = pairs.where(F.col("facility_code").isNull()).select(
+        "*", *[F.lit(None).cast(orgs.schema[c].dataType).alias(c) for c in ("org_code", "org_name")])
+    return named.select(*REGISTRATION_COLUMNS).union(nowhere.select(*REGISTRATION_COLUMNS))
 
 
-def registrations(facts: DataFrame, mapping: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def registrations(facts: DataFrame, mapping: DataFrame) -> DataFrame:
     """Distinct (entity, facility, org code, org name) over living fact rows.
 
     The living test is per row here too. A facility missing from the map
     keeps its row with a null org; a facility mapped to several org rows
     yields one registration per org row. Distinct (entity, facility) pairs
-    are formed first (hash aggregate, combined per map task), then looked up
-    in the broadcast map, so the map never meets the raw facts.
+    are formed first (hash aggregate, combined per map task), then looked up,
+    so the map never meets the raw facts.
     """
     pairs = facts.where(F.col("death_date").isNull()).select("entity_id", "facility_code").distinct()
-    return _register(pairs, mapping, max_broadcast_rows)
+    return _register(pairs, mapping)
 
 
-def registrations_reduced(reduced: DataFrame, mapping: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def registrations_reduced(reduced: DataFrame, mapping: DataFrame) -> DataFrame:
     """:func:`registrations` from :func:`covtab.operators.resolve.reduce_facts` output."""
     pairs = reduced.where(F.col("alive")).select("entity_id", "facility_code").distinct()
-    return _register(pairs, mapping, max_broadcast_rows)
+    return _register(pairs, mapping)
 
 
 def entity_category(asset: DataFrame) -> DataFrame:
@@ -106,3 +110,16 @@ def attribute(asset: DataFrame, regs: DataFrame, parity: bool = False) -> DataFr
     else:
         rows = entity_category(asset)
     return rows.join(keyed, "entity_id", "inner").select(*ATTRIBUTION_COLUMNS)
+
+
+def attributed_cells(asset: DataFrame, regs: DataFrame) -> DataFrame:
+    """Counts per (org, category) of :func:`attribute` with ``parity=True``,
+    by weights: an entity's asset rows and its registrations are counted
+    before they meet, so their product is a number and not rows."""
+    unambiguous = asset.groupBy("entity_id", "category").agg(F.count("*").alias("rows"))
+    one = unambiguous.groupBy("entity_id").agg(F.count("category").alias("values")).where("values = 1").select("entity_id")
+    weights = unambiguous.join(one, "entity_id", "left_semi")
+    keyed = regs.where("entity_id IS NOT NULL AND facility_code IS NOT NULL AND org_code IS NOT NULL")
+    places = keyed.groupBy("entity_id", "org_code", "org_name").agg(F.count("*").alias("places"))
+    return weights.join(places, "entity_id").groupBy("org_code", "org_name", "category").agg(
+        F.sum(F.col("rows") * F.col("places")).alias("n"))

@@ -4,10 +4,10 @@ organisation."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from covtab.params import CATEGORY_DOMAIN
+from covtab.params import CATEGORY_DOMAIN, OTHER
 
 
 def population(regs: DataFrame) -> DataFrame:
@@ -66,18 +66,29 @@ def coverage(pop: DataFrame, known: DataFrame, parity: bool = False) -> DataFram
     )
 
 
+def _by_category(category: Column, domain, other: bool = True, present: Column | None = None) -> list[Column]:
+    """Sums of ``n`` by category of the domain, and of what lies outside."""
+    present = F.lit(True) if present is None else present
+    outside = present & ~F.coalesce(category.isin(*domain), F.lit(False))
+    sums = [F.sum(F.when(category == c, F.col("n"))).cast("long").alias(c) for c in domain]
+    return sums + [F.sum(F.when(outside, F.col("n"))).cast("long").alias(OTHER)] * other
+
+
 def crosstab(cells: DataFrame, cover: DataFrame, domain=CATEGORY_DOMAIN, parity: bool = False) -> DataFrame:
     """Category counts as columns, one row per org with cells, plus the
     unknown count from the coverage table (unrounded Table 3a).
 
-    The pivot domain is explicit, so no extra job discovers it and the column
-    set is fixed; categories outside the domain are not columns (the quality
-    report lists them). An empty cell is null.
+    The domain is explicit, so no extra job discovers it and the column set is
+    fixed; counts of categories outside it, which the coverage table has as
+    known, are in the column ``other``. An empty cell is null. Orgs without a
+    name are dropped, as from the coverage table. ``parity=True`` has neither:
+    only the domain's columns, and nameless orgs stay.
     """
-    wide = cells.groupBy("org_name", "org_code").pivot("category", list(domain)).agg(F.sum("n").cast("long"))
+    named = cells if parity else cells.where(F.col("org_name").isNotNull())
+    wide = named.groupBy("org_name", "org_code").agg(*_by_category(F.col("category"), domain, other=not parity))
     u = cover.select(F.col("org_name").alias("_r_name"), F.col("org_code").alias("_r_code"), "unknown")
     j = wide.join(u, _org_join(wide, u, parity), "left")
-    return j.select("org_name", "org_code", *[F.col(c) for c in domain], "unknown")
+    return j.select("org_name", "org_code", *wide.columns[2:], "unknown")
 
 
 def registration_cube(regs: DataFrame, primary: DataFrame, secondary: DataFrame) -> DataFrame:
@@ -120,3 +131,27 @@ def cube_cells(cube: DataFrame, side: str) -> DataFrame:
         .groupBy("org_code", "org_name", F.col(c).alias("category"))
         .agg(F.sum("n").cast("long").alias("n"))
     )
+
+
+def cube_summary(cube: DataFrame, domain=CATEGORY_DOMAIN) -> DataFrame:
+    """Everything the tables say of a named org, in one aggregation of
+    :func:`registration_cube` output: ``alive``, ``known_p``, ``known_s`` (null
+    without any) and the secondary counts by category."""
+    p, s = F.col("p_cat"), F.col("s_cat")
+    return cube.where(F.col("org_name").isNotNull()).groupBy("org_name", "org_code").agg(
+        F.sum("n").cast("long").alias("alive"),
+        F.sum(F.when(p.isNotNull(), F.col("n"))).cast("long").alias("known_p"),
+        F.sum(F.when(s.isNotNull(), F.col("n"))).cast("long").alias("known_s"),
+        *_by_category(s, domain, present=s.isNotNull()))
+
+
+def summary_coverage(summary: DataFrame, side: str) -> DataFrame:
+    """:func:`coverage` of the primary (``side="p"``) or secondary (``"s"``) source."""
+    known = F.coalesce(F.col(f"known_{side}"), F.lit(0).cast("long"))
+    return summary.select("org_name", "org_code", known.alias("known"), "alive", (F.col("alive") - known).alias("unknown"))
+
+
+def summary_crosstab(summary: DataFrame, domain=CATEGORY_DOMAIN) -> DataFrame:
+    """:func:`crosstab` of the secondary source."""
+    return summary.where(F.col("known_s").isNotNull()).select(
+        "org_name", "org_code", *domain, OTHER, (F.col("alive") - F.col("known_s")).alias("unknown"))

@@ -12,22 +12,26 @@ from pyspark.sql import functions as F
 
 from covtab.functions.predicates import known_code
 from covtab.params import PRIORITY_CODED, PRIORITY_DIRECT, SOURCE_CODED, SOURCE_DIRECT
-from covtab.session import broadcast_if_small
 
 OBS_COLUMNS = ("entity_id", "category", "recorded_on", "source", "priority")
 
 
-def mapped_codes(facts: DataFrame, concept_map: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def known_concepts(concept_map: DataFrame) -> DataFrame:
+    """The distinct (concept, known category) pairs of the map; repeated map
+    rows and unknown categories never meet the facts."""
+    return concept_map.where(known_code("category")).select("concept_code", "category").distinct()
+
+
+def mapped_codes(facts: DataFrame, concept_map: DataFrame) -> DataFrame:
     """Fact rows whose concept maps to a known category.
 
     The original left join plus a not-null filter is an inner join. A concept
-    mapped to two categories yields two rows (a conflict later on).
+    mapped to two categories yields two rows (a conflict later on). No hint is
+    given: Spark broadcasts the map by its size in bytes.
     """
-    cmap = broadcast_if_small(concept_map.select("concept_code", "category"), max_broadcast_rows)
     return (
         facts.select("entity_id", "concept_code", "record_date")
-        .join(cmap, "concept_code", "inner")
-        .where(known_code("category"))
+        .join(known_concepts(concept_map), "concept_code", "inner")
         .select("entity_id", "concept_code", "record_date", "category")
     )
 
@@ -65,17 +69,15 @@ def tag(rows: DataFrame, date: str, source: str, priority: int, entity: str = "e
 def union_observations(coded: DataFrame, direct: DataFrame) -> DataFrame:
     """Both tagged sources as one observation table.
 
-    Rows are already distinct within a source and the source tags differ, so
-    a plain union equals the original ``UNION`` without its extra shuffle.
+    The source tags differ, so on rows that are distinct within a source a
+    plain union equals the original ``UNION`` without its extra shuffle.
     """
     return tag(coded, "record_date", SOURCE_CODED, PRIORITY_CODED).unionByName(
         tag(direct, "period_end", SOURCE_DIRECT, PRIORITY_DIRECT)
     )
 
 
-def candidate_observations(facts: DataFrame, concept_map: DataFrame,
-                           max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """All observations of both sources, de-duplicated, in the common shape."""
-    coded = dedupe_observations(mapped_codes(facts, concept_map, max_broadcast_rows), date="record_date")
-    direct = dedupe_observations(direct_codes(facts), date="period_end")
-    return union_observations(coded, direct)
+def candidate_observations(facts: DataFrame, concept_map: DataFrame) -> DataFrame:
+    """All observations of both sources in the common shape. Not deduplicated:
+    resolution takes the latest date per value anyway, in its first aggregation."""
+    return union_observations(mapped_codes(facts, concept_map), direct_codes(facts))

@@ -30,8 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covtab.functions.predicates import known_code
+from covtab.operators.observe import known_concepts
 from covtab.params import PRIORITY_CODED, PRIORITY_DIRECT, SOURCE_CODED, SOURCE_DIRECT
-from covtab.session import broadcast_if_small
 
 RESOLVED_COLUMNS = ("entity_id", "category", "attributed_on", "source")
 
@@ -131,7 +131,7 @@ REDUCED_COLUMNS = ("entity_id", "facility_code", "mapped_category", "direct_cate
                    "mapped_on", "direct_on", "alive")
 
 
-def reduce_facts(facts: DataFrame, concept_map: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def reduce_facts(facts: DataFrame, concept_map: DataFrame) -> DataFrame:
     """Collapse the fact table to one row per
     (entity, facility, mapped category, direct category).
 
@@ -141,9 +141,8 @@ def reduce_facts(facts: DataFrame, concept_map: DataFrame, max_broadcast_rows: i
     source row has no death date. This is the only pass over the facts;
     resolution, living test and registrations all derive from it.
     """
-    cmap = broadcast_if_small(concept_map.select("concept_code", "category"), max_broadcast_rows)
-    joined = facts.join(cmap, "concept_code", "left")
-    mapped = F.when(known_code("category"), F.col("category"))
+    joined = facts.join(known_concepts(concept_map), "concept_code", "left")
+    mapped = F.col("category")
     direct = F.when(known_code("direct_category"), F.col("direct_category"))
     return joined.groupBy(
         "entity_id", "facility_code", mapped.alias("mapped_category"), direct.alias("direct_category")
@@ -154,6 +153,16 @@ def reduce_facts(facts: DataFrame, concept_map: DataFrame, max_broadcast_rows: i
     )
 
 
+def by_entity(reduced: DataFrame) -> DataFrame:
+    """:func:`reduce_facts` output laid out by entity: one partitioning and one
+    sort that the (entity, facility) pairs, the resolution and the join on
+    entity all use. Its rows are combined already, so an entity that many facts
+    name is a few rows per facility here."""
+    # A given number of partitions is kept as it is; later steps ask for the same.
+    partitions = int(reduced.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return reduced.repartition(partitions, "entity_id").sortWithinPartitions("entity_id", "facility_code")
+
+
 def resolve_reduced(reduced: DataFrame) -> DataFrame:
     """Per entity: the resolved category (null if none or ambiguous) and the
     living flag, from :func:`reduce_facts` output. One aggregation on entity."""

@@ -24,6 +24,9 @@ CATEGORY_DOMAIN = (
     "K", "L", "M", "N", "P", "R", "S", "T", "W",
 )
 
+# Column of the cross-tab for categories outside the domain.
+OTHER = "other"
+
 # Observation sources and their priority (lower wins on a date tie).
 SOURCE_CODED = "coded_record"
 SOURCE_DIRECT = "direct_field"
@@ -95,14 +98,11 @@ class JobParams:
     ``asof`` limits the dimensions only (facilities and orgs valid on that
     day); facts are not cut at it. ``parity`` reproduces the original job's
     quirks where this library deliberately differs (see README "Semantics").
-    ``broadcast_max_rows`` bounds the dimension tables (concept map, org map)
-    that are broadcast; a larger one is joined by shuffle instead.
     """
 
     asof: _dt.date
     domain: tuple = CATEGORY_DOMAIN
     parity: bool = False
-    broadcast_max_rows: int = 1_000_000
 
     def __post_init__(self):
         object.__setattr__(self, "asof", as_date(self.asof))

@@ -1,10 +1,12 @@
-"""The report as one batch job: read the five role tables, build the report,
-publish the tables with their notes, and return the run's checks.
+"""The report as one batch job: read the five role tables, check them, and
+publish the tables with their notes.
 
     spark-submit -m covtab ... (or python -m covtab) --asof 2024-03-31 \\
         --facts facts_table --concept-map concept_map_table \\
         --facilities facility_table --orgs org_table --asset asset_table \\
-        --out /shared/reports/2024-03-31 [--format csv|parquet] [--parity]
+        --out /shared/reports/2024-03-31 [--format csv|parquet] [--parity] [--force] \\
+        [--rename facts:PERSON_ID=entity_id ...] [--domain A,B,C] \\
+        [--title TEXT] [--organisation TEXT] [--footnote TEXT ...]
 
 Sources are catalog table names or parquet paths. The session's
 ``spark.checkpoint.dir`` must name a shared folder on a cluster.
@@ -14,32 +16,75 @@ from __future__ import annotations
 
 import argparse
 import time
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from covtab.params import JobParams
-from covtab.plans.publish import publication_notes, publish_tables
+from covtab.params import CATEGORY_DOMAIN, JobParams
+from covtab.plans.publish import publish_tables, read_published
+from covtab.plans.quality import blocking
 from covtab.plans.report import build_report
-from covtab.session import ensure_checkpoint_dir
+from covtab.session import run_folder
 from covtab.sources import read_inputs
 
 
-def run_job(spark: SparkSession, sources: dict, params: JobParams, out: str, fmt: str = "csv") -> dict:
-    """Publish the report; returns the written folders, the freshness and
-    quality DataFrames (small), and the elapsed seconds."""
-    ensure_checkpoint_dir(spark)
-    started = time.perf_counter()
-    report = build_report(read_inputs(spark, sources), params)
-    tables = dict(report.tables)
-    written = publish_tables(tables, out, fmt, notes=publication_notes(spark, tables))
-    checks: dict[str, DataFrame] = {"freshness": report.stages["freshness"], "quality": report.stages["quality"]}
-    for name, df in checks.items():
-        target = f"{out.rstrip('/')}/_{name}"
-        df.write.mode("overwrite").format(fmt).option("header", True).save(target)
-        written[f"_{name}"] = target
+class ChecksFailed(RuntimeError):
+    """The checks found what must not be published; they are written, the tables are not."""
+
+
+def run_job(spark: SparkSession, sources: dict, params: JobParams, out: str, fmt: str = "csv",
+            renames: Mapping[str, Mapping[str, str]] | None = None, notes: Mapping | None = None,
+            force: bool = False) -> dict:
+    """Check, then publish. Returns the written folders, the checks as
+    DataFrames over what was written, and the elapsed seconds.
+
+    ``_freshness`` and ``_quality`` are written first. If the quality report
+    has a blocking row (see :mod:`covtab.plans.quality`) the job stops with
+    :class:`ChecksFailed` and publishes nothing, unless ``force``. ``_metrics``
+    has the seconds of each step and the rows of each table. Stages that the
+    run writes to the checkpoint folder are deleted at its end.
+    """
+    out = out.rstrip("/")
+    written: dict[str, str] = {}
+    seconds: dict[str, float] = {}
+    started = last = time.perf_counter()
+
+    def save(name: str, df) -> None:
+        df.coalesce(1).write.mode("overwrite").format(fmt).option("header", True).save(f"{out}/_{name}")
+        written[f"_{name}"] = f"{out}/_{name}"
+
+    def lap(step: str) -> None:
+        nonlocal last
+        now = time.perf_counter()
+        seconds[step], last = round(now - last, 3), now
+
+    with run_folder(spark):
+        report = build_report(read_inputs(spark, sources, renames), params)
+        save("freshness", report.stages["freshness"])
+        save("quality", report.stages["quality"])
+        checks = {name: read_published(spark, written[f"_{name}"], fmt) for name in ("freshness", "quality")}
+        lap("checks")
+        bad = blocking(checks["quality"])
+        if not force and not bad.isEmpty():
+            first = bad.orderBy("check", "subject").first()
+            raise ChecksFailed(f"{first['check']} of {first['subject']}: {first['value']}; see {written['_quality']}")
+        written |= publish_tables(dict(report.tables), out, fmt, notes=notes)
+        lap("tables")
+        rows = [(f"seconds_{k}", v) for k, v in seconds.items()] + [("seconds", round(time.perf_counter() - started, 3))]
+        save("metrics", spark.createDataFrame(rows, "metric string, value double"))
     return {"written": written, "checks": checks, "seconds": round(time.perf_counter() - started, 3)}
 
 
+def _renames(given: list[str]) -> dict[str, dict[str, str]]:
+    """``role:SOURCE=column`` options by role."""
+    out: dict[str, dict[str, str]] = {}
+    for text in given:
+        role, _, pair = text.partition(":")
+        source, _, column = pair.partition("=")
+        out.setdefault(role.replace("-", "_"), {})[source] = column
+    return out
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="covtab", description="Category coverage report")
     ap.add_argument("--asof", required=True)
@@ -48,11 +93,19 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", default="csv", choices=("csv", "parquet"))
     ap.add_argument("--parity", action="store_true")
+    ap.add_argument("--force", action="store_true", help="publish although a check stops the run")
+    ap.add_argument("--rename", action="append", default=[], metavar="ROLE:SOURCE=COLUMN")
+    ap.add_argument("--domain", default=",".join(CATEGORY_DOMAIN))
+    ap.add_argument("--title")
+    ap.add_argument("--organisation")
+    ap.add_argument("--footnote", action="append")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("covtab").getOrCreate()
     sources = {"facts": a.facts, "concept_map": a.concept_map, "facilities": a.facilities,
                "orgs": a.orgs, "asset": a.asset}
-    res = run_job(spark, sources, JobParams(asof=a.asof, parity=a.parity), a.out, a.format)
+    given = {"title": a.title, "organisation": a.organisation, "footnotes": a.footnote}
+    res = run_job(spark, sources, JobParams(asof=a.asof, parity=a.parity, domain=tuple(a.domain.split(","))), a.out, a.format,
+                  _renames(a.rename), {k: v for k, v in given.items() if v is not None}, a.force)
     print({"written": res["written"], "seconds": res["seconds"]})
 
 

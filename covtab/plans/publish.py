@@ -16,10 +16,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from covtab.session import ensure_checkpoint_dir, has_at_most, materialize
+from covtab.session import delete_path, ensure_checkpoint_dir, materialize, rename_path
 
 SORT_KEYS = {"org_reference": ("org_code",)}
-DEFAULT_SORT = ("org_name",)
+DEFAULT_SORT = ("org_name", "org_code")
 
 # Fixed text of the publication notes (a caller can pass their own).
 DEFAULT_NOTES = {
@@ -77,30 +77,39 @@ def publication_notes(spark: SparkSession, tables: Mapping[str, DataFrame], note
     return out
 
 
-def publish_tables(tables: Mapping[str, DataFrame], path: str, fmt: str = "csv",
-                   notes: DataFrame | None = None, single_file_rows: int = 1_000_000) -> dict[str, str]:
-    """Write each table, sorted for presentation, to ``{path}/{name}``.
+def publish_tables(tables: Mapping[str, DataFrame], path: str, fmt: str = "csv", notes: Mapping | None = None,
+                   one_file: bool = True) -> dict[str, str]:
+    """Write each table, sorted for presentation, to ``{path}/{name}``, and
+    ``publication_notes`` with ``notes``.
 
-    A table with at most ``single_file_rows`` rows (checked) is written as
-    one file; larger ones keep their partitions. Returns the folder of each
-    table.
+    ``one_file=True``: a table is one file, sorted; tables have a row for an
+    organisation, so one task writes them. ``one_file=False``: range-partitioned
+    files, each sorted, for very many organisations. Everything is written to a
+    staging folder beside ``path`` first and renamed when all of it is there,
+    so a run that fails publishes nothing. Returns the folder of each table.
     """
-    written = {}
-    items = dict(tables)
-    if notes is not None:
-        items["publication_notes"] = notes
-    for name, df in items.items():
-        keys = [k for k in SORT_KEYS.get(name, DEFAULT_SORT) if k in df.columns]
-        out = df.orderBy(*[F.col(k).asc_nulls_first() for k in keys]) if keys else df
-        if has_at_most(df, single_file_rows):
-            out = out.coalesce(1)
-        w = out.write.mode("overwrite")
-        if fmt == "csv":
-            w = w.option("header", True)
-        target = f"{path.rstrip('/')}/{name}"
-        w.format(fmt).save(target)
-        written[name] = target
-    return written
+    path = path.rstrip("/")
+    spark = next(iter(tables.values())).sparkSession
+    staging = f"{path}.staging-{uuid.uuid4().hex}"
+
+    def write(name: str, df: DataFrame) -> None:
+        keys = [F.col(k).asc_nulls_first() for k in SORT_KEYS.get(name, DEFAULT_SORT) if k in df.columns]
+        if one_file:
+            df = df.repartition(1).sortWithinPartitions(*keys) if keys else df.repartition(1)
+        elif keys:
+            df = df.orderBy(*keys)
+        df.write.format(fmt).options(**({"header": True} if fmt == "csv" else {})).save(f"{staging}/{name}")
+
+    for name, df in tables.items():
+        write(name, df)
+    # The notes count what was written, not the plans behind it.
+    written = {name: read_published(spark, f"{staging}/{name}", fmt) for name in tables}
+    write("publication_notes", publication_notes(spark, written, notes))
+    names = [*tables, "publication_notes"]
+    for name in names:
+        rename_path(spark, f"{staging}/{name}", f"{path}/{name}")
+    delete_path(spark, staging)
+    return {name: f"{path}/{name}" for name in names}
 
 
 def read_published(spark: SparkSession, folder: str, fmt: str = "csv") -> DataFrame:

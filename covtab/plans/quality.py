@@ -13,12 +13,13 @@ from covtab.params import CATEGORY_DOMAIN
 QUALITY_COLUMNS = ("check", "subject", "value")
 
 
-def freshness(facts: DataFrame, asof) -> DataFrame:
+def freshness(facts: DataFrame, asof, period: str = "period_end") -> DataFrame:
     """One row: newest period end in the facts, the as-of day, and whether
     they agree. The as-of day limits only the dimensions, so a mismatch means
-    facts and dimensions describe different days."""
+    facts and dimensions describe different days. The reduced facts do as
+    well, with ``period="direct_on"``: they have each group's newest period."""
     day = day_literal(asof)
-    latest = F.max("period_end")
+    latest = F.max(period)
     return facts.agg(
         latest.alias("latest_period"),
         day.alias("asof"),
@@ -32,16 +33,19 @@ def _rows(df: DataFrame, check: str, subject, value) -> DataFrame:
 
 
 def quality_report(mapping: DataFrame, cells_primary: DataFrame, cells_secondary: DataFrame,
-                   cover_primary: DataFrame, cover_secondary: DataFrame,
+                   cover_primary: DataFrame, cover_secondary: DataFrame, alive: DataFrame,
                    domain=CATEGORY_DOMAIN) -> DataFrame:
     """``(check, subject, value)`` rows; an empty report means all clear.
 
     * ``out_of_domain_primary`` / ``out_of_domain_secondary``: counted rows
-      whose category is not a published column (null included).
+      whose category is not in the domain (null included); they are published
+      in the column ``other``.
     * ``negative_unknown_primary`` / ``negative_unknown_secondary``: orgs
       where known exceeds alive (suppression would fail on them).
     * ``facility_fanout``: facilities that map to more than one org row on
       the as-of day (their registrations are counted once per org row).
+    * ``nameless_org``: orgs of the population ``alive`` that have a code but
+      no name; they are in no table.
     """
     dom = [F.lit(c) for c in domain]
 
@@ -62,4 +66,14 @@ def quality_report(mapping: DataFrame, cells_primary: DataFrame, cells_secondary
         .unionByName(neg(cover_primary, "negative_unknown_primary"))
         .unionByName(neg(cover_secondary, "negative_unknown_secondary"))
         .unionByName(_rows(fan, "facility_fanout", F.col("facility_code"), F.col("v")))
+        .unionByName(_rows(alive.where("org_name IS NULL AND org_code IS NOT NULL"), "nameless_org", F.col("org_code"),
+                           F.col("alive")))
     )
+
+
+#: Checks that stop publication: suppression fails on a negative count.
+BLOCKING = ("negative_unknown_primary", "negative_unknown_secondary")
+
+
+def blocking(quality: DataFrame) -> DataFrame:
+    return quality.where(F.col("check").isin(*BLOCKING))

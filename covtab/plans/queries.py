@@ -1,10 +1,11 @@
 """Named queries over the demo mapping of the public test tables.
 
-One entry per operator of the report, each ``(spark, sf_dir) -> DataFrame``
-and lazy. The row-level operators are exercised through their standalone
-form (e.g. registrations straight from the facts); the published tables go
-through the fused report plan. ``covtab.sources.demo_sql.ORACLE`` holds the
-same queries as independent SQL.
+One entry per operator of the report, each ``(spark, sf_dir) -> DataFrame``.
+The row-level operators are exercised through their standalone form (e.g.
+registrations straight from the facts); the published tables go through the
+fused report plan. All are lazy but ``published_order``, ``publication_notes``
+and ``publish_roundtrip``, which write stages as a run would.
+``covtab.sources.demo_sql.ORACLE`` holds the same queries as SQL.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from covtab.operators import (
     attribute,
+    attributed_cells,
     best_priority,
     candidate_observations,
     category_cells,
@@ -42,6 +44,7 @@ from covtab.operators import (
     with_rate,
     with_total,
 )
+from covtab.functions import suppress_round
 from covtab.params import JobParams, SOURCE_CODED, SOURCE_DIRECT
 from covtab.plans.publish import (
     publication_notes,
@@ -52,7 +55,7 @@ from covtab.plans.publish import (
 )
 from covtab.plans.quality import freshness, quality_report
 from covtab.plans.report import build_report, resolved_living
-from covtab.sources.demo import DEMO_ASOF, demo_inputs
+from covtab.sources.demo import DEMO_ASOF, demo_asset_by_order, demo_inputs
 
 COVERAGE_MEASURES = ("known", "alive", "unknown")
 
@@ -61,7 +64,7 @@ class _Ctx:
     """Lazily built shared sub-plans of one query (nothing is executed)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
+        self.spark, self.sf_dir = spark, sf_dir
         self.i = demo_inputs(spark, sf_dir)
 
     @property
@@ -132,20 +135,31 @@ def _dedupe_both(c: _Ctx) -> DataFrame:
 
 
 def _notes(c: _Ctx) -> DataFrame:
-    rep = c.report()
+    rep = c.report(materialise=True)
     return publication_notes(c.spark, dict(rep.tables))
 
 
 def _roundtrip(c: _Ctx) -> DataFrame:
-    # Publishing is an action: materialise the shared stages first, as a run would.
+    """Tables 1 and 2 as they are read back after publishing, a row as JSON."""
     folder = scratch_folder(c.spark, "published")
     rep = c.report(materialise=True)
-    written = publish_tables(dict(rep.tables), folder, "csv", notes=publication_notes(c.spark, dict(rep.tables)))
-    return read_published(c.spark, written["table_2"], "csv")
+    written = publish_tables(dict(rep.tables), folder, "csv")
+    back = [read_published(c.spark, written[name], "csv").select(
+        F.lit(name).alias("name"), F.to_json(F.struct("org_name", "org_code", "known", "alive", "unknown", "percentage")).alias("row"))
+        for name in ("table_1", "table_2")]
+    return back[0].union(back[1])
 
 
 def _quality(c: _Ctx) -> DataFrame:
-    return quality_report(c.org_map(), c.cells_p(), c.cells_s(), c.cov_p(), c.cov_s())
+    return quality_report(c.org_map(), c.cells_p(), c.cells_s(), c.cov_p(), c.cov_s(), population(c.regs()))
+
+
+def _negative(c: _Ctx, sf_dir: str) -> DataFrame:
+    """The quality report of parity counts over an asset with a row per order, which must stop a run."""
+    cells = attributed_cells(demo_asset_by_order(c.spark, sf_dir), c.regs())
+    cover = coverage(population(c.regs()), known_by_org(cells), parity=True)
+    report = quality_report(c.org_map(), cells, cells, cover, cover, population(c.regs()))
+    return report.where(F.col("check") == "negative_unknown_secondary")
 
 
 _BUILDERS: dict[str, Callable[[_Ctx], DataFrame]] = {
@@ -180,6 +194,10 @@ _BUILDERS: dict[str, Callable[[_Ctx], DataFrame]] = {
     "quality_report": _quality,
     "table_2_parity": lambda c: c.report(parity=True).tables["table_2"],
     "table_3b_parity": lambda c: c.report(parity=True).tables["table_3b"],
+    "total_row_parity": lambda c: with_total(c.report(parity=True).stages["coverage_secondary"], COVERAGE_MEASURES, parity=True),
+    "quality_negative_unknown": lambda c: _negative(c, c.sf_dir),
+    "suppress_value": lambda c: c.cov_s().select(
+        "org_name", "org_code", *[suppress_round(f"coalesce({m}, 0)").alias(m) for m in COVERAGE_MEASURES]),
     "published_order": lambda c: published_order(c.report().tables["table_1"]),
     "publication_notes": _notes,
     "publish_roundtrip": _roundtrip,

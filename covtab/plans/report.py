@@ -4,20 +4,18 @@ Physical shape (see README "Plan"):
 
 1. ``reduce_facts``: the only pass over the facts. Hash aggregate on
    (entity, facility, mapped category, direct category), combined map-side.
-2. ``resolve_reduced`` and ``registrations_reduced``: both read the reduced
-   rows; one aggregation on entity each.
+2. ``by_entity``: the reduced rows are laid out by entity once and written to
+   the shared checkpoint folder. The (entity, facility) pairs, the resolution
+   and the join on entity all read that layout and shuffle nothing on its side.
 3. ``registration_cube``: registrations joined on entity with the resolved
    primary category and the secondary asset's per-entity category (both one
-   row per entity), counted per (org, primary, secondary category). One job
-   from the reduced facts to every per-org count; the result is tiny.
-4. Population, cells, coverage, cross-tab, totals, suppression and rates
-   are all small aggregations over the cube.
-
-The reduced facts (as a parquet table) and the cube (checkpoint) are
-materialised once in the session's shared checkpoint folder when one is
-set, else persisted; the cube is then size-checked and moved into one
-partition. With ``parity=True`` the row-level attribution path is used
-instead, since duplicate and null-category asset rows then count.
+   row per entity), counted per (org, primary, secondary category), and
+   written like the reduced rows.
+4. ``cube_summary``: one aggregation of the cube has everything the tables say
+   of an org; tables are projections of it with a total row.
+
+With ``parity=True`` the tables follow the original's joins, and duplicate and
+null-category asset rows count, as weights (``attributed_cells``).
 """
 
 from __future__ import annotations
@@ -28,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covtab.operators.attribute import attribute, entity_category, registrations_reduced
+from covtab.operators.attribute import attribute, attributed_cells, entity_category, registrations_reduced
 from covtab.operators.dims import org_map, org_reference
 from covtab.operators.disclose import (
     coverage_table,
@@ -37,21 +35,24 @@ from covtab.operators.disclose import (
     publish_crosstab,
     publish_rates,
     rate_crosstab,
+    rate_table,
 )
 from covtab.operators.measure import (
-    category_cells,
     coverage,
     crosstab,
     cube_cells,
     cube_population,
+    cube_summary,
     known_by_org,
     population,
     registration_cube,
+    summary_coverage,
+    summary_crosstab,
 )
-from covtab.operators.resolve import RESOLVED_COLUMNS, reduce_facts, resolve_reduced
+from covtab.operators.resolve import RESOLVED_COLUMNS, by_entity, reduce_facts, resolve_reduced
 from covtab.params import JobParams
 from covtab.plans.quality import freshness, quality_report
-from covtab.session import materialize, one_partition_if_small
+from covtab.session import materialize, materialize_layout
 
 
 class Lazy(Mapping):
@@ -96,67 +97,66 @@ def build_report(inputs: dict, params: JobParams, materialise: bool = True) -> R
 
     ``inputs``: ``facts``, ``concept_map``, ``facilities``, ``orgs``,
     ``asset`` (see :mod:`covtab.sources`). Stages and tables are built on
-    first access. With ``materialise=True`` the reused stages (reduced facts,
-    registrations, cells, population) are computed once when first needed;
-    with ``materialise=False`` nothing runs until an action on a returned
-    DataFrame.
+    first access. With ``materialise=True`` the reused stages (reduced facts
+    and cube, or cells and population in parity) are computed once when first
+    needed; with ``materialise=False`` nothing runs until an action on a
+    returned DataFrame.
     """
     keep = materialize if materialise else (lambda df: df)
-    keep_table = (lambda df, name: materialize(df, as_table=name)) if materialise else (lambda df, name: df)
-    # The cube is at most orgs x categories^2 rows; once materialised and its
-    # size checked, the per-org tail runs in one partition without shuffles.
-    tail = (lambda df: one_partition_if_small(df, params.broadcast_max_rows)) if materialise else (lambda df: df)
-    limit = params.broadcast_max_rows
-    p = params.parity
+    lay_out = (lambda df: materialize_layout(by_entity(df))) if materialise else (lambda df: df)
+    p, domain = params.parity, params.domain
     st: Lazy
     num: Lazy
 
+    def resolved():
+        return resolved_living(st["per_entity"])
+
     stage_builders = {
         "org_map": lambda: org_map(inputs["facilities"], inputs["orgs"], params.asof),
-        "reduced": lambda: keep_table(reduce_facts(inputs["facts"], inputs["concept_map"], limit), "reduced"),
+        "reduced": lambda: lay_out(reduce_facts(inputs["facts"], inputs["concept_map"])),
         "per_entity": lambda: resolve_reduced(st["reduced"]),
-        "registrations": lambda: registrations_reduced(st["reduced"], st["org_map"], limit),
-        "coverage_primary": lambda: coverage(st["population"], known_by_org(st["cells_primary"]), p),
-        "coverage_secondary": lambda: coverage(st["population"], known_by_org(st["cells_secondary"]), p),
-        "crosstab": lambda: crosstab(st["cells_secondary"], st["coverage_secondary"], params.domain, p),
-        "freshness": lambda: freshness(inputs["facts"], params.asof),
-        "quality": lambda: quality_report(st["org_map"], st["cells_primary"], st["cells_secondary"],
-                                          st["coverage_primary"], st["coverage_secondary"], params.domain),
+        "registrations": lambda: registrations_reduced(st["reduced"], st["org_map"]),
+        "freshness": lambda: freshness(st["reduced"], params.asof, period="direct_on"),
+        "quality": lambda: quality_report(st["org_map"], st["cells_primary"], st["cells_secondary"], st["coverage_primary"],
+                                          st["coverage_secondary"], st["population"], domain),
     }
     if p:
-        # Row-level attribution: duplicate and null-category asset rows count.
-        stage_builders.update({
-            "registrations": lambda: keep(registrations_reduced(st["reduced"], st["org_map"], limit)),
-            "attributed_primary": lambda: attribute(resolved_living(st["per_entity"]), st["registrations"], p),
+        stage_builders |= {
+            "registrations": lambda: keep(registrations_reduced(st["reduced"], st["org_map"])),
+            "attributed_primary": lambda: attribute(resolved(), st["registrations"], p),
             "attributed_secondary": lambda: attribute(inputs["asset"], st["registrations"], p),
-            "cells_primary": lambda: keep(category_cells(st["attributed_primary"])),
-            "cells_secondary": lambda: keep(category_cells(st["attributed_secondary"])),
+            "cells_primary": lambda: keep(attributed_cells(resolved(), st["registrations"])),
+            "cells_secondary": lambda: keep(attributed_cells(inputs["asset"], st["registrations"])),
             "population": lambda: keep(population(st["registrations"])),
-        })
+            "coverage_primary": lambda: coverage(st["population"], known_by_org(st["cells_primary"]), p),
+            "coverage_secondary": lambda: coverage(st["population"], known_by_org(st["cells_secondary"]), p),
+            "crosstab": lambda: crosstab(st["cells_secondary"], st["coverage_secondary"], domain, p),
+        }
     else:
-        # One job from the reduced facts to every per-org count.
-        stage_builders.update({
-            "cube": lambda: tail(keep(registration_cube(
-                st["registrations"],
-                resolved_living(st["per_entity"]).select("entity_id", "category"),
-                entity_category(inputs["asset"]).select("entity_id", "category"),
-            ))),
+        stage_builders |= {
+            "cube": lambda: keep(registration_cube(
+                st["registrations"], resolved().select("entity_id", "category"),
+                entity_category(inputs["asset"]).select("entity_id", "category"))),
+            "summary": lambda: cube_summary(st["cube"], domain),
             "population": lambda: cube_population(st["cube"]),
             "cells_primary": lambda: cube_cells(st["cube"], "p"),
             "cells_secondary": lambda: cube_cells(st["cube"], "s"),
-        })
+            "coverage_primary": lambda: summary_coverage(st["summary"], "p"),
+            "coverage_secondary": lambda: summary_coverage(st["summary"], "s"),
+            "crosstab": lambda: summary_crosstab(st["summary"], domain),
+        }
     st = Lazy(stage_builders)
     num = Lazy({
         "table_1": lambda: coverage_table(st["coverage_primary"], p),
         "table_2": lambda: coverage_table(st["coverage_secondary"], p),
-        "table_3a": lambda: crosstab_table(st["crosstab"], params.domain, p),
-        "table_3b": lambda: rate_crosstab(num["table_3a"], num["table_2"], params.domain, p),
+        "table_3a": lambda: crosstab_table(st["crosstab"], domain, p),
+        "table_3b": lambda: rate_crosstab(num["table_3a"], num["table_2"], domain, p) if p else rate_table(st["summary"], domain),
     })
     tables = Lazy({
         "table_1": lambda: publish_coverage(num["table_1"]),
         "table_2": lambda: publish_coverage(num["table_2"]),
-        "table_3a": lambda: publish_crosstab(num["table_3a"], params.domain),
-        "table_3b": lambda: publish_rates(num["table_3b"], params.domain),
+        "table_3a": lambda: publish_crosstab(num["table_3a"], domain),
+        "table_3b": lambda: publish_rates(num["table_3b"], domain),
         "org_reference": lambda: org_reference(st["org_map"]),
     })
     return Report(tables=tables, numeric=num, stages=st)

@@ -1,16 +1,16 @@
 """Session helpers: building a local session for tests and benchmarks,
-materialising a stage so later actions do not re-run its lineage, and
-size-checked broadcasting of dimension tables."""
+materialising a stage so later actions do not re-run its lineage, and the
+folders of a run."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "covtab") -> SparkSession:
@@ -71,68 +71,51 @@ def _context(spark: SparkSession):
         return None
 
 
-def has_checkpoint_dir(spark: SparkSession) -> bool:
-    sc = _context(spark)
-    return bool((sc is not None and sc.getCheckpointDir()) or spark.conf.get("spark.checkpoint.dir", None))
-
-
-def materialize(df: DataFrame, as_table: str | None = None) -> DataFrame:
-    """Compute ``df`` once and cut its lineage.
-
-    With a checkpoint folder (the shared folder in ``spark.checkpoint.dir`` on
-    a cluster) the rows are written there, so losing an executor later costs
-    a re-read, not a re-run of the whole upstream plan:
-
-    * ``as_table=None``: ``checkpoint()``; the output partitioning is kept,
-      so a later join or aggregation on the same key does not shuffle again.
-    * ``as_table="name"``: written as a parquet table in a fresh sub-folder
-      and read back; compressed and columnar, so each later reader scans only
-      the columns it needs. Better for large stages whose partitioning is not
-      reused.
-
-    Without a folder the stage is persisted to memory and disk instead, and
-    filled at once, so every later reader sees the same rows.
-    """
-    spark = df.sparkSession
-    if not has_checkpoint_dir(spark):
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()
-        return out
-    folder = ensure_checkpoint_dir(spark)
-    if as_table:
-        path = f"{folder.rstrip('/')}/{as_table}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
-    return df.checkpoint(eager=True)
-
+@contextmanager
+def run_folder(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """A fresh folder below the checkpoint folder for one run: checkpoints made
+    inside go there, and the folder is deleted at the end, also after a failure."""
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    spark.sparkContext.setCheckpointDir(path)
+    try:
+        yield path
+    finally:
+        spark.sparkContext.setCheckpointDir(base)
+        delete_path(spark, path)
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has no more than ``max_rows`` rows.
 
-    Used on dimension tables only (facilities, orgs, concept map, the
-    published tables), so counting them is cheap next to the fact scan.
-    """
-    return df.count() <= max_rows
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder with Spark's own file system client, wherever it is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Hint a broadcast only after checking the row count.
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder; what the target held before is deleted first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(path(target), True)
+    if not fs.rename(path(source), path(target)):
+        raise RuntimeError(f"could not rename {source} to {target}")
 
-    Dimension tables (facilities, orgs, the concept map) are bounded by the
-    reference data, not by the facts, but the bound is checked rather than
-    assumed. Above the bound no hint is given and AQE picks the join from
-    measured sizes.
-    """
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once, write it to the shared checkpoint folder and cut
+    its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
-def one_partition_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Move a small, already materialised table into one partition, after
-    checking its row count.
 
-    A single-partition input satisfies every distribution an aggregation or
-    join asks for, so the many small steps that follow (pivot, grouping sets,
-    joins of per-org tables) run without further shuffles. Above the bound
-    the table keeps its partitioning.
-    """
-    return df.coalesce(1) if has_at_most(df, max_rows) else df
+def materialize_layout(df: DataFrame) -> DataFrame:
+    """:func:`materialize` that also keeps the partitioning and the order
+    within partitions, so a later join or aggregation on the same key needs no
+    shuffle and no sort. Spark knows them only of a plan that is fixed before
+    it runs, so adaptive execution is off for this one write."""
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return materialize(df)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)

@@ -71,3 +71,14 @@ def test_known_code(spark):
 def test_bad_asof():
     with pytest.raises(ValueError):
         JobParams(asof="2021-13-45")
+
+
+@pytest.mark.parametrize("v", [3.7, 8.9, 0.4])
+def test_suppress_round_rejects_fractions(spark, v):
+    for rule in (suppress_round, rounded_or_null):
+        with pytest.raises(Exception, match="not a whole number"):
+            _one(spark, rule, v, "double")
+
+
+def test_suppress_round_takes_whole_doubles(spark):
+    assert _one(spark, suppress_round, 12.0, "double") == "10"

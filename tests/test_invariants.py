@@ -45,7 +45,7 @@ def test_published_counts_in_allowed_domain(report):
 
 def test_every_table_has_total_and_fixed_columns(report):
     t3a = report.tables["table_3a"]
-    assert t3a.columns == ["org_name", "org_code", *CATEGORY_DOMAIN, "unknown"]
+    assert t3a.columns == ["org_name", "org_code", *CATEGORY_DOMAIN, "other", "unknown"]
     for name in ("table_1", "table_2", "table_3a", "table_3b"):
         assert report.tables[name].where(F.col("org_name") == "TOTAL").count() == 1
 
@@ -56,7 +56,9 @@ def test_quality_reports_out_of_domain_and_negative(spark):
     pop = spark.createDataFrame([("O1", "Org One", 12)], "org_code string, org_name string, alive long")
     cov = coverage(pop, known_by_org(cells))
     mapping = spark.createDataFrame([("F1", "O1"), ("F1", "O1")], "facility_code string, org_code string")
-    rows = {(r.check, r.subject, r.value) for r in quality_report(mapping, cells, cells, cov, cov).collect()}
+    pop = pop.union(spark.createDataFrame([("O2", None, 5), (None, None, 9)], pop.schema))
+    rows = {(r.check, r.subject, r.value) for r in quality_report(mapping, cells, cells, cov, cov, pop).collect()}
+    assert ("nameless_org", "O2", 5) in rows and len([r for r in rows if r[0] == "nameless_org"]) == 1
     assert ("out_of_domain_primary", "Q", 3) in rows
     assert ("out_of_domain_primary", "<null>", 2) in rows
     assert ("negative_unknown_secondary", "Org One", -3) in rows

@@ -15,7 +15,7 @@ def test_published_order_across_partitions(spark):
     prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        ranked = published_order(df).collect()
+        ranked = published_order(df, keys=("org_name",)).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
     ranks = sorted(r["rank"] for r in ranked)

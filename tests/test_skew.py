@@ -77,3 +77,20 @@ def test_report_with_hot_entity(spark):
     # The hot entity counts once per (facility, org) registration, not once per asset row.
     hot = {r.org_code: r.n for r in category_cells(attribute(asset, regs).where(F.col("entity_id") == "hot")).collect()}
     assert hot == {"O1": 2, "O4": 1}
+
+
+def test_parity_cells_by_weights(spark):
+    """A placeholder id with 100,000 asset rows and many facilities: its cells are
+    a product of two counts and equal the row-level attribution's."""
+    from covtab.operators import attributed_cells
+
+    regs = spark.range(200).select(
+        F.lit("hot").alias("entity_id"), F.concat(F.lit("F"), F.col("id")).alias("facility_code"),
+        F.concat(F.lit("O"), F.col("id") % 7).alias("org_code"), F.concat(F.lit("Org"), F.col("id") % 7).alias("org_name"))
+    big = spark.range(100_000).select(F.lit("hot").alias("entity_id"), F.when(F.col("id") % 10 != 0, F.lit("A")).alias("category"),
+                                      F.lit(dt.date(2020, 1, 1)).alias("attributed_on"), F.lit("s").alias("source"))
+    got = {(r.org_code, r.category): r.n for r in attributed_cells(big, regs).collect()}
+    assert got["O0", "A"] == 90_000 * 29 and got["O6", None] == 10_000 * 28 and len(got) == 14
+    small = big.where("attributed_on IS NOT NULL").limit(40)
+    rows = lambda df: sorted(map(str, (tuple(r) for r in df.select("org_code", "org_name", "category", "n").collect())))
+    assert rows(attributed_cells(small, regs)) == rows(category_cells(attribute(small, regs, parity=True)))
