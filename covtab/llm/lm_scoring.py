@@ -42,8 +42,10 @@ from covtab.llm.exchange import ROWS, answers_of, pack, rows_of, sent, unpack, w
 MIN_COUNT = 2
 ALPHA = 0.5
 MU = 4.0
-#: Text in a shard, and hash bits of a bigram.
-SHARD_BYTES = 32 << 20
+#: Text in a shard (two tasks of 600 MB hold it with all its arrays; larger
+#: executors take larger shards, of which fewer rows are exchanged), and hash
+#: bits of a bigram.
+SHARD_BYTES = 8 << 20
 PAIR_BITS = 56
 
 _START, _END, _UNKNOWN = np.uint64(1), np.uint64(2), np.uint64(3)
