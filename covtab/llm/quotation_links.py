@@ -55,11 +55,12 @@ def without_quotes(lines: Column) -> Column:
 def _paths(links: DataFrame) -> DataFrame:
     """``(conv_id, turn, path)`` of distinct messages with their ``parent``, by doubling."""
     now = cut_lineage(links.select("conv_id", "turn", F.col("parent").alias("next"), F.array("turn").alias("path")))
-    while not now.where("next IS NOT NULL").isEmpty():
+    while not (todo := now.where("next IS NOT NULL")).isEmpty():
         above = now.select("conv_id", F.col("turn").alias("next"), F.col("next").alias("_next"), F.col("path").alias("_path"))
-        now = cut_lineage(now.join(above, ["conv_id", "next"], "left").select(
-            "conv_id", "turn", F.col("_next").alias("next"),
-            F.when(F.col("_path").isNull(), F.col("path")).otherwise(F.concat("_path", "path")).alias("path")))
+        # Only messages whose path has not reached its root are joined again.
+        longer = todo.join(above, ["conv_id", "next"]).select(
+            "conv_id", "turn", F.col("_next").alias("next"), F.concat("_path", "path").alias("path"))
+        now = cut_lineage(now.where("next IS NULL").union(longer))
     return now.select("conv_id", "turn", "path")
 
 
