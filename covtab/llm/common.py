@@ -42,3 +42,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def shard_count(spark: SparkSession, total_bytes: int, bytes_per_shard: int) -> int:
     """Shards of about ``bytes_per_shard``, at least one for each shuffle partition."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total_bytes) // bytes_per_shard), 1)
+
+
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with ``columns``, computed once a row. They come out of a
+    generator of one row; a filter on a plain projection would be moved below
+    it with the expressions written out again, as often as it names them."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    held = F.explode(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    return df.select(*rest, held.alias("_held")).select(*rest, *[F.col(f"_held.`{c}`") for c in columns])

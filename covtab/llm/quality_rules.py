@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from covtab.llm.common import text_or_empty, without_spaces, words_of
+from covtab.llm.common import computed, text_or_empty, without_spaces, words_of
 
 # The symbols that are counted, and common function words of the
 # four languages of the corpus.
@@ -110,7 +110,7 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     })
     w, lines, bare = F.col("_words"), F.col("_lines"), F.col("_bare")
     count = lambda array, test: F.size(F.filter(array, test)).cast("long")
-    return parts.withColumns({
+    return computed(parts, {
         "one": F.lit(1).cast("long"),
         "n_words": F.size(w).cast("long"),
         "word_chars": F.length(bare).cast("long"),
@@ -151,7 +151,4 @@ def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
     """The rows of ``docs`` that pass, with their own columns only."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     judged = judge(docs.select(whole.alias("_row"), F.col(f"`{text}`").alias("_judged")), "_judged", rules)
-    # A row number in the projection keeps the filter above it; pushed below,
-    # the counts would be written out again wherever the filter uses them.
-    numbered = judged.select("_row", "kept", F.monotonically_increasing_id().alias("_number"))
-    return numbered.where(F.col("kept") & (F.col("_number") >= 0)).select("_row.*")
+    return judged.where("kept").select("_row.*")

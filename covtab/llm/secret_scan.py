@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from covtab.llm.common import text_or_empty
+from covtab.llm.common import computed, text_or_empty
 
 # The patterns of the base kinds, in their order, and what a
 # match must have: 12 characters assigned, 18 of an access key, 16 of hex.
@@ -204,9 +204,8 @@ def _spans(docs: DataFrame, text: str, steps: dict[int, int]) -> DataFrame:
     random = F.filter(_candidates(body), lambda c: c["depth"] < F.coalesce(F.try_element_at(cut, c["size_class"]), F.lit(10**6)))
     apart = F.filter(F.col("_random"), lambda c: ~F.exists(
         F.col("_base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    return (docs.withColumn("_body", _unmarked(text))
-            .withColumns({"_base": F.sort_array(base), "_random": random}).drop("_body")
-            .withColumn("_all", F.sort_array(F.concat(F.col("_base"), _base(3, apart)))).drop("_random"))
+    found = computed(docs.withColumn("_body", _unmarked(text)), {"_base": F.sort_array(base), "_random": random}).drop("_body")
+    return computed(found, {"_all": F.sort_array(F.concat(F.col("_base"), _base(3, apart)))}).drop("_random")
 
 
 def _shown(spans: Column) -> Column:
