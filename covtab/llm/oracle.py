@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from covtab.llm import lm_scoring, quality_rules
+from covtab.llm import lm_scoring, quality_rules, substring_dedup
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -127,7 +127,7 @@ FROM losses JOIN docs USING (row_no)
 
 
 # The given messages have no quote marks of their own, so what a mail quotes at
-# level 1 is the text of the turn before it.
+# level n is the text of n turns before it.
 _QUOTATIONS = f"""
 WITH RECURSIVE lines AS (
     SELECT DISTINCT conv_id, turn, line, count(*) OVER (PARTITION BY conv_id, turn, line) AS n
@@ -137,10 +137,11 @@ WITH RECURSIVE lines AS (
 ), originals AS (
     SELECT conv_id, line, min(turn) AS origin FROM lines GROUP BY ALL
 ), quoted AS (
-    SELECT l.conv_id, l.turn + 1 AS turn, l.n, o.origin FROM lines l JOIN originals o USING (conv_id, line)
+    SELECT l.conv_id, l.turn + level AS turn, level, l.n, o.origin
+    FROM lines l JOIN originals o USING (conv_id, line), (VALUES (1), (2)) levels (level)
 ), parents AS (
-    SELECT conv_id, turn, arg_max(origin, votes * 1000000 + origin) AS parent, sum(votes)::BIGINT AS n
-    FROM (SELECT conv_id, turn, origin, sum(n)::BIGINT AS votes FROM quoted GROUP BY ALL) GROUP BY ALL
+    SELECT conv_id, turn, arg_max(origin, [-level, votes, origin]) AS parent, sum(votes)::BIGINT AS n
+    FROM (SELECT conv_id, turn, level, origin, sum(n)::BIGINT AS votes FROM quoted GROUP BY ALL) GROUP BY ALL
 ), messages AS (
     SELECT m.conv_id, m.turn, m.role, m.text, p.parent, coalesce(p.n, 0) AS n
     FROM conversations m LEFT JOIN parents p ON p.conv_id = m.conv_id AND p.turn = m.turn
@@ -157,8 +158,31 @@ FROM plain JOIN paths USING (conv_id, turn)
 """
 
 
+_SUBSTRINGS = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_no, doc_id,
+           list_filter(string_split_regex(coalesce(text, ''), '{SPACE_RUN}'), lambda w: w <> '') AS words FROM documents
+), places AS (
+    SELECT row_no, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM texts
+), windows AS (
+    SELECT row_no, pos, string_agg(word, ' ') OVER ahead AS words, count(*) OVER ahead AS n
+    FROM places WINDOW ahead AS (PARTITION BY row_no ORDER BY pos ROWS BETWEEN CURRENT ROW AND {substring_dedup.WINDOW - 1} FOLLOWING)
+), repeats AS (
+    SELECT row_no, pos FROM windows WHERE n = {substring_dedup.WINDOW} QUALIFY count(*) OVER (PARTITION BY words) > 1
+), covered AS (
+    SELECT DISTINCT row_no, unnest(range(pos, pos + {substring_dedup.WINDOW})) AS pos FROM repeats
+), kept AS (
+    SELECT row_no, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS body
+    FROM places ANTI JOIN covered USING (row_no, pos) GROUP BY row_no
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (row_no)
+"""
+
+
 ORACLE = {
     "op1_lm_scoring": _lm_scoring(),
+    "op2_substring_dedup": _SUBSTRINGS,
     "op4_exact_dedup": _EXACT_DEDUP,
     "op6_quotation_linking": _QUOTATIONS,
     "op9_quality_rules": _quality(),

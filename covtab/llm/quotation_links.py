@@ -5,7 +5,9 @@ line is a passage: its level is the number of marks before it, and its hash is
 that of its words in lower case. The original of a passage is the first
 message of its conversation that has the line as its own, at level 0. A
 message replies to the earlier message that is the original of most of its
-lines at level 1, the latest such message if several are. Replies form trees;
+lines at level 1, the latest such message if several are; where no line of that
+level has an earlier original (the message it answers is missing), the next
+level decides, and so on. Replies form trees;
 a message's path, the turns from its root to it, sorts a conversation so that
 each reply follows what it answers.
 
@@ -15,8 +17,8 @@ many messages share is one row on that side; paths are built by doubling, a
 join a round. No conversation is gathered in one place: its messages are rows,
 and :func:`in_reply_order` writes them by ranges of (conversation, path).
 
-Defined results: a null text counts as empty; a message without lines at level
-1, or whose lines have no earlier original, is a root; messages without a
+Defined results: a null text counts as empty; a message without quoted lines,
+or whose lines have no earlier original, is a root; messages without a
 conversation or a turn are roots with a path of their turn alone; rows that
 repeat a conversation's turn share a parent and a path; an empty table gives
 an empty result. Columns other than the four are ignored.
@@ -67,20 +69,21 @@ def _paths(links: DataFrame) -> DataFrame:
 def link_replies(messages: DataFrame) -> DataFrame:
     """One row for each row of ``messages``: ``conv_id``, ``turn``, ``role``,
     ``parent_turn``, ``path``, numbers of quoted and of linked lines at level
-    1, and ``text`` without quotes."""
+    1 and deeper, and ``text`` without quotes."""
     read = messages.select("conv_id", "turn", "role", _lines(text_or_empty("text")).alias("lines"))
     lines = read.where("conv_id IS NOT NULL AND turn IS NOT NULL").select(
-        "conv_id", "turn", F.explode(F.filter("lines", lambda x: x["level"] < 2)).alias("line"))
+        "conv_id", "turn", F.explode("lines").alias("line"))
     lines = lines.select("conv_id", "turn", "line.level", normalised(F.col("line.content")).alias("line"))
     lines = lines.where("line <> ''").select("conv_id", "turn", "level", F.xxhash64("line").alias("hash"), F.length("line").alias("size"))
     originals = lines.where("level = 0").groupBy("conv_id", "hash", "size").agg(F.min("turn").alias("origin"))
-    quoted = lines.where("level = 1").groupBy("conv_id", "turn", "hash", "size").agg(F.count("*").alias("n"))
+    quoted = lines.where("level > 0").groupBy("conv_id", "turn", "level", "hash", "size").agg(F.count("*").alias("n"))
     found = quoted.join(originals, ["conv_id", "hash", "size"], "left").withColumn(
         "origin", F.when(F.col("origin") < F.col("turn"), F.col("origin")))
-    votes = found.groupBy("conv_id", "turn", "origin").agg(F.sum("n").alias("n"))
+    votes = found.groupBy("conv_id", "turn", "level", "origin").agg(F.sum("n").alias("n"))
     linked = F.when(F.col("origin").isNotNull(), F.col("n"))
+    vote = F.struct((-F.col("level")).alias("nearer"), "n", "origin")
     parents = votes.groupBy("conv_id", "turn").agg(
-        F.max(F.when(F.col("origin").isNotNull(), F.struct("n", "origin")))["origin"].alias("parent"),
+        F.max(F.when(F.col("origin").isNotNull(), vote))["origin"].alias("parent"),
         F.sum("n").alias("n_quoted"), F.coalesce(F.sum(linked), F.lit(0)).alias("n_linked"))
     everyone = read.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn").distinct()
     parents = cut_lineage(everyone.join(parents, ["conv_id", "turn"], "left"))

@@ -25,6 +25,7 @@ def test_tree(spark):
         (1, 5): (None, [5]), (2, 0): (None, [0])}
     assert got[1, 3].text == "On the first answer" and got[1, 4].text == "On the second answer"
     assert (got[1, 5].n_quoted, got[1, 5].n_linked) == (1, 0)
+    assert (got[1, 4].n_quoted, got[1, 4].n_linked) == (2, 2)
 
 
 def test_most_lines_then_latest(spark):
@@ -35,6 +36,12 @@ def test_most_lines_then_latest(spark):
     assert [got[1, k].parent_turn for k in (3, 4, 5)] == [0, 2, 0]
 
 
+def test_deeper_level_where_the_answered_message_is_missing(spark):
+    got = linked(spark, [(1, 0, "u", "root"), (1, 2, "u", "> lost answer\n> > root\n> > > root\nreply"), (1, 3, "u", ">> reply\nend")])
+    assert (got[1, 2].parent_turn, got[1, 2].n_quoted, got[1, 2].n_linked) == (0, 3, 2)
+    assert got[1, 3].path == [0, 2, 3]
+
+
 def test_later_text_is_no_original(spark):
     got = linked(spark, [(1, 0, "u", "> said later\nx"), (1, 1, "u", "said later")])
     assert got[1, 0].parent_turn is None
