@@ -19,10 +19,12 @@ without byte pieces, or with user-defined or unused pieces are refused.
 from __future__ import annotations
 
 import codecs
+import gc
 import hashlib
 import re
+from collections import deque
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
-#: Characters of text that are encoded together, and stretches that a task remembers.
+#: Characters of text that are encoded together, and stretches in a generation that a task remembers.
 BLOCK_CHARS = 1 << 21
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 _NONE = np.int32(2**31 - 1)
 
@@ -256,23 +258,26 @@ class Codec:
         return (shown[1:] if blank_first else shown).decode("utf-8", "each_byte")
 
 
-def _encoded(batch_texts: Iterator[str | None], codec: Codec, form: Callable[[list[int]], tuple],
-             known: dict[str, tuple]) -> Iterator[list[tuple]]:
-    """For each text the formed ids of its stretches, each distinct stretch of a block encoded once."""
+def _encoded(texts: Iterator[str | None], codec: Codec, form: Callable[[list[int]], tuple]) -> Iterator[list[tuple]]:
+    """For each text the formed ids of its stretches. Stretches are remembered
+    in two generations, so that those in use stay when the older one goes."""
+    known: dict[str, tuple] = {}
+    older: dict[str, tuple] = {}
 
     def flush(block: list[list[str]]) -> Iterator[list[tuple]]:
-        wanted = set().union(*block)
-        new = list(wanted - known.keys())
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(wanted)
+        nonlocal known, older
+        if len(known) > REMEMBERED:
+            known, older = {}, known
+        missing = set().union(*block) - known.keys()
+        known |= {s: older[s] for s in missing & older.keys()}
+        new = list(missing - older.keys())
         if new:
             known.update(zip(new, map(form, codec.encode_stretches(new))))
         for cut in block:
             yield list(map(known.__getitem__, cut))
 
     block, chars = [], 0
-    for text in batch_texts:
+    for text in texts:
         block.append(codec.cut(text))
         chars += len(text or "")
         if chars >= BLOCK_CHARS:
@@ -286,12 +291,27 @@ def _mapped(docs: DataFrame, doc_id: str, text: str, model: str | None, schema:
     model = model or default_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, known = Codec(model), {}
-        shape = lambda ids: form(codec, ids)
-        for batch in batches:
-            texts = (t.as_py() for t in batch.column(1))
-            rows = [finish(found) for found in _encoded(texts, codec, shape, known)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, zip(*rows))], names)
+        codec, sizes, kept = Codec(model), deque(), deque()
+
+        def texts() -> Iterator[str | None]:
+            for batch in batches:
+                sizes.append(batch.num_rows)
+                kept.append(batch.column(0))
+                for text in batch.column(1):
+                    yield text.as_py()
+
+        # Texts are encoded in blocks of their own, whatever the batches; rows come back in batches.
+        rows = map(finish, _encoded(texts(), codec, lambda ids: form(codec, ids)))
+        # What is remembered is many tuples and no cycles; looking for cycles costs half of the time.
+        gc.disable()
+        try:
+            for first in rows:
+                while not sizes[0]:
+                    sizes.popleft(), kept.popleft()
+                found = [first, *islice(rows, sizes.popleft() - 1)]
+                yield pa.RecordBatch.from_arrays([kept.popleft(), *map(pa.array, zip(*found))], names)
+        finally:
+            gc.enable()
 
     names = ["doc_id", *(c.split()[0] for c in schema.split(", "))]
     return pairs.mapInArrow(run, f"doc_id {pairs.schema['doc_id'].dataType.simpleString()}, {schema}")

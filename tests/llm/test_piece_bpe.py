@@ -64,5 +64,5 @@ def test_forgetting_does_not_change_results(both, monkeypatch):
     monkeypatch.setattr(B, "REMEMBERED", 5)
     monkeypatch.setattr(B, "BLOCK_CHARS", 40)
     texts = [f"some words number {k} and {k % 3} more" for k in range(50)]
-    got = [[i for ids, in found for i in ids] for found in B._encoded(iter(texts), codec, lambda ids: (ids,), {})]
+    got = [[i for ids, in found for i in ids] for found in B._encoded(iter(texts), codec, lambda ids: (ids,))]
     assert got == [library.encode(t) for t in texts]
