@@ -55,7 +55,9 @@ from covtab.plans.publish import (
 )
 from covtab.plans.quality import freshness, quality_report
 from covtab.plans.report import build_report, resolved_living
+from covtab.plans.views import register_views
 from covtab.sources.demo import DEMO_ASOF, demo_asset_by_order, demo_inputs
+from covtab.sources.tables import read_inputs
 
 COVERAGE_MEASURES = ("known", "alive", "unknown")
 
@@ -154,6 +156,25 @@ def _quality(c: _Ctx) -> DataFrame:
     return quality_report(c.org_map(), c.cells_p(), c.cells_s(), c.cov_p(), c.cov_s(), population(c.regs()))
 
 
+def _by_name(c: _Ctx) -> DataFrame:
+    """Table 1 from sources read by name, with columns under names of their own."""
+    names, renames = {}, {}
+    for role, df in c.i.items():
+        names[role] = f"covtab_source_{role}"
+        renames[role] = {f"src_{column}": column for column in df.columns}
+        df.toDF(*renames[role]).createOrReplaceTempView(names[role])
+    inputs = read_inputs(c.spark, names, renames)
+    return build_report(inputs, JobParams(asof=DEMO_ASOF), materialise=False).tables["table_1"]
+
+
+def _by_view(c: _Ctx) -> DataFrame:
+    """SQL over named stages of the report."""
+    register_views(c.report(), names=["coverage_primary", "cells_primary"])
+    return c.spark.sql(
+        "SELECT v.org_name, v.org_code, v.alive, count(k.category) AS categories FROM covtab_coverage_primary v "
+        "LEFT JOIN covtab_cells_primary k ON k.org_code = v.org_code AND k.org_name = v.org_name GROUP BY ALL")
+
+
 def _negative(c: _Ctx, sf_dir: str) -> DataFrame:
     """The quality report of parity counts over an asset with a row per order, which must stop a run."""
     cells = attributed_cells(demo_asset_by_order(c.spark, sf_dir), c.regs())
@@ -198,6 +219,8 @@ _BUILDERS: dict[str, Callable[[_Ctx], DataFrame]] = {
     "quality_negative_unknown": lambda c: _negative(c, c.sf_dir),
     "suppress_value": lambda c: c.cov_s().select(
         "org_name", "org_code", *[suppress_round(f"coalesce({m}, 0)").alias(m) for m in COVERAGE_MEASURES]),
+    "sources_by_name": _by_name,
+    "stage_views": _by_view,
     "published_order": lambda c: published_order(c.report().tables["table_1"]),
     "publication_notes": _notes,
     "publish_roundtrip": _roundtrip,

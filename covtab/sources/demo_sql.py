@@ -254,6 +254,11 @@ ORACLE["publish_roundtrip"] = q(
     "UNION ALL SELECT 'table_2', to_json(struct_pack(org_name, org_code, known, alive, unknown, percentage))::VARCHAR "
     f"FROM (SELECT {_COVER_TEXT} FROM round_s)")
 
+ORACLE["sources_by_name"] = ORACLE["table_1"]
+ORACLE["stage_views"] = q(
+    "SELECT b.org_name, b.org_code, b.alive, count(DISTINCT p_cat) AS categories "
+    "FROM by_org b JOIN cube c ON c.org_name = b.org_name AND c.org_code = b.org_code GROUP BY ALL")
+
 
 def _notes() -> str:
     from covtab.plans.publish import DEFAULT_NOTES
