@@ -43,6 +43,16 @@ def check(df, rows, library):
     return len(by), sum(r.length for r in got)
 
 
+def test_long_runs_of_whitespace(library):
+    encoder = Encoder(default_ranks())
+    blanks, lines = " " * 2_000_000, "\n" * 2_000_000
+    mixed = " \t\u3000\x85" * 300_000
+    texts = [blanks, lines, f"a{blanks}b", f"a {lines}b", f"{lines} 1", f"{blanks}\u00a0!", f"x{mixed}\x1cy{blanks}z" + lines,
+             f"{blanks}<|endoftext|>{lines}c", "\x1c" * 70_000 + "d", " " * 65_535 + "e", " " * 65_536 + "f"]
+    for text in texts:
+        assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_odd_rows(table, odd_rows, library):
     for clashing in (False, True):
         check(table(odd_rows, clashing), odd_rows, library)
