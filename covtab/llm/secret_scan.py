@@ -2,7 +2,11 @@
 
 The patterns find assigned passwords and tokens, access keys and long
 hexadecimal strings. Beside them every run of 16 or more characters that looks
-like an encoding (hexadecimal, base 32, base 64) is tested for being random:
+like an encoding (hexadecimal, base 32, base 36, base 64) is tested for being
+random. Paths and prefixes stand in one run with a token, so the runs of letters
+and digits, those with ``_`` and ``-`` too and those with ``+`` and ``/`` too
+are all candidates, each with its own encoding; a random one within another
+random one is no span of its own. The tests are
 chi-squared uniformity over eight equal parts of its alphabet, the runs test
 about the middle of the alphabet, and serial correlation of neighbours. The
 three are combined to one p-value. A candidate is left alone if its randomness
@@ -39,9 +43,10 @@ LEAST_ASSIGNED = 12
 LEAST_ACCESS = 18
 KINDS = ("assign", "access", "hex", "random")
 
-#: Candidates of the battery, and the least length of each encoding.
-CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
-LEAST_HEX, LEAST_BASE32, LEAST_BASE64 = 16, 16, 20
+#: Candidates of the battery, parts before the runs that hold them, and the
+#: least length of each encoding.
+CANDIDATES = (r"[A-Za-z0-9]{16,}={0,2}", r"[A-Za-z0-9_-]{16,}={0,2}", r"[A-Za-z0-9+/]{16,}={0,2}")
+LEAST_HEX, LEAST_BASE32, LEAST_BASE36, LEAST_BASE64 = 16, 16, 20, 20
 PARTS = 8
 FALSE_RATE = 0.05
 #: p-values are counted in steps of a hundredth of their decimal log, down to 1e-20.
@@ -87,9 +92,12 @@ def _alphabet(token: Column) -> Column:
         F.when((n >= LEAST_HEX) & token.rlike("^([0-9a-f]+|[0-9A-F]+)$") & has("0-9") & has("a-fA-F"),
                F.when(has("a-f"), F.lit(_DIGITS + _LOWER[:6])).otherwise(F.lit(_DIGITS + _UPPER[:6])))
         .when((n >= LEAST_BASE32) & token.rlike("^[A-Z2-7]+$") & has("2-7") & has("A-Z"), F.lit(_UPPER + "234567"))
-        .when((n >= LEAST_BASE64) & has("A-Z") & has("a-z") & has("0-9") & token.rlike("^[A-Za-z0-9+/]+$"),
+        .when((n >= LEAST_BASE36) & token.rlike("^([0-9a-z]+|[0-9A-Z]+)$") & has("0-9") & has("a-zA-Z"),
+               F.when(has("a-z"), F.lit(_DIGITS + _LOWER)).otherwise(F.lit(_DIGITS + _UPPER)))
+        # Digits are not demanded: one in thirty random tokens of 20 characters has none.
+        .when((n >= LEAST_BASE64) & has("A-Z") & has("a-z") & token.rlike("^[A-Za-z0-9+/]+$"),
               F.lit(_UPPER + _LOWER + _DIGITS + "+/"))
-        .when((n >= LEAST_BASE64) & has("A-Z") & has("a-z") & has("0-9") & token.rlike("^[A-Za-z0-9_-]+$"),
+        .when((n >= LEAST_BASE64) & has("A-Z") & has("a-z") & token.rlike("^[A-Za-z0-9_-]+$"),
               F.lit(_UPPER + _LOWER + _DIGITS + "-_"))
     )
 
@@ -168,7 +176,8 @@ def _candidates(text: Column) -> Column:
             m["start"].alias("start"), m["end"].alias("end"), _length_class(F.length(token)).alias("size_class"),
             _battery(token).alias("depth")))
 
-    return F.filter(F.transform(_matches(text, CANDIDATE), judged), lambda c: c["depth"].isNotNull())
+    found = F.array_distinct(F.concat(*[_matches(text, pattern) for pattern in CANDIDATES]))
+    return F.filter(F.transform(found, judged), lambda c: c["depth"].isNotNull())
 
 
 def _unmarked(text: str) -> Column:
@@ -204,8 +213,11 @@ def _spans(docs: DataFrame, text: str, steps: dict[int, int]) -> DataFrame:
     random = F.filter(_candidates(body), lambda c: c["depth"] < F.coalesce(F.try_element_at(cut, c["size_class"]), F.lit(10**6)))
     apart = F.filter(F.col("_random"), lambda c: ~F.exists(
         F.col("_base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    widest = F.filter(F.col("_apart"), lambda c: ~F.exists(F.col("_apart"), lambda o: (
+        o["start"] <= c["start"]) & (c["end"] <= o["end"]) & (o["end"] - o["start"] > c["end"] - c["start"])))
     found = computed(docs.withColumn("_body", _unmarked(text)), {"_base": F.sort_array(base), "_random": random}).drop("_body")
-    return computed(found, {"_all": F.sort_array(F.concat(F.col("_base"), _base(3, apart)))}).drop("_random")
+    found = computed(found, {"_apart": apart}).drop("_random")
+    return computed(found, {"_all": F.sort_array(F.concat(F.col("_base"), _base(3, widest)))}).drop("_apart")
 
 
 def _shown(spans: Column) -> Column:

@@ -94,6 +94,42 @@ def test_random_tokens_are_found_and_regular_ones_left(table):
     assert sum(got[k] for k in range(100, 200)) == 0 and got[300] == 0
 
 
+def test_random_tokens_in_paths_and_after_prefixes(table):
+    rng = random.Random(21)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    standard, url = upper + lower + digits + "+/", upper + lower + digits + "-_"
+    kinds = [("https://example.com/my_app/", upper + lower + digits, 40), ("team-a/", upper + lower + digits, 40), ("x-", standard, 40),
+             ("my_app/", url, 40), ("", lower + digits, 32), ("key_", upper + digits, 32), ("", upper + lower, 20)]
+    rows, at = [], {}
+    for kind, (before, letters, n) in enumerate(kinds):
+        for _ in range(60):
+            token = draw(letters, n)
+            at[len(rows)] = (kind, len(before) + 4, len(before) + 4 + n, token)
+            rows.append((len(rows), f"see {before}{token} now"))
+    rows += [(1000 + k, "see https://example.com/my_app/some-long-title/of_the_page now") for k in range(50)]
+    covered = [0] * len(kinds)
+    for r in S.scan(table(rows)).collect():
+        spans = [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s]
+        if r.doc_id >= 1000:
+            assert spans == []
+            continue
+        kind, a, b, _ = at[r.doc_id]
+        covered[kind] += sum(min(y, b) - max(x, a) for x, y in spans if x < b and a < y) >= 0.8 * (b - a)
+        assert len({s for s in spans}) == len(spans)
+    assert min(covered) >= 51, covered
+    left = sum(at[r.doc_id][3] in r.text for r in S.redact(table(rows)).collect() if r.doc_id < 1000)
+    assert left <= 0.15 * len(at), left
+
+
+def test_a_token_beside_a_base_span_stays(table):
+    rng = random.Random(22)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    tokens = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(40)]
+    got = S.redact(table([(k, f"deadbeefdeadbeef/{t}") for k, t in enumerate(tokens)])).collect()
+    assert sum(tokens[r.doc_id] not in r.text for r in got) >= 34
+
+
 def test_rejections_follow_the_step_up_rule(table):
     rng = random.Random(12)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
