@@ -140,26 +140,34 @@ def links(prints: DataFrame) -> DataFrame:
     return index.repartition("key").mapInArrow(run, "a long, b long")
 
 
+def _rooted(prints: DataFrame) -> DataFrame:
+    """``(fp, least, root)`` of the distinct fingerprints: the smallest id of
+    a fingerprint's own rows, and the fingerprint that stands for its group."""
+    roots = components(links(prints))
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    return least.join(roots, least.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                           shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id``, ``fp`` and
     ``component_id``, the smallest id that links lead to."""
     prints = cut_lineage(fingerprints(docs, doc_id, text, shingle_words))
-    roots = components(links(prints))
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    rooted = least.join(roots, least.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(prints)
     component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(rooted.join(component, "root").select("fp", "component_id"), "fp").select(
         "doc_id", "fp", "component_id")
 
 
 def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is their group's ``component_id``, with
-    their own columns. Rows without an id stay; rows that share an id stay or
-    go together."""
-    stays = near_duplicate_groups(docs, doc_id, text).where("doc_id = component_id").select(
-        F.col("doc_id").alias("_stays")).distinct()
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{doc_id}`").alias("_id"))
-    kept = whole.where("_id IS NOT NULL").join(stays, F.col("_id") == F.col("_stays"), "left_semi")
-    return kept.union(whole.where("_id IS NULL")).select("_row.*")
+    """One row of each group, with its own columns: the one of the smallest
+    id, a null id being the largest; of rows with that id, any one."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{doc_id}`").alias("_id"),
+                        F.col(f"`{text}`").cast("string").alias("_text"))
+    # Written once with the numbers, so that a number names the same row in both reads.
+    whole = cut_lineage(whole.withColumn("_number", F.monotonically_increasing_id()))
+    ranked = F.struct(F.col("_id").isNull().alias("no_id"), F.col("_id").alias("id"), F.col("_number").alias("row"))
+    prints = cut_lineage(fingerprints(whole.select(ranked.alias("_rank"), "_text"), "_rank", "_text"))
+    best = _rooted(prints).groupBy("root").agg(F.min("least").alias("best"))
+    stays = best.select(F.col("best.row").alias("_stays"))
+    return whole.join(stays, F.col("_number") == F.col("_stays"), "left_semi").select("_row.*")

@@ -68,6 +68,16 @@ def test_near_copies(table):
     assert sorted(r.doc_id for r in stays) == sorted(set(want))
 
 
+def test_one_row_stays_of_groups_without_ids_and_of_repeated_ids(table):
+    rng = random.Random(8)
+    texts = [" ".join(f"{name}{rng.randrange(300)}" for _ in range(400)) for name in "abcd"]
+    rows = [(None, texts[0])] * 4 + [(5, texts[1])] * 3 + [(6, texts[1]), (None, texts[1])] + [(None, texts[2]), (9, texts[2])] + [(5, texts[3])]
+    for clashing in (False, True):
+        stays = simhash.keep_representatives(table(rows, clashing)).collect()
+        assert sorted((str(r.doc_id), r.text) for r in stays) == sorted(
+            [("None", texts[0]), ("5", texts[1]), ("9", texts[2]), ("5", texts[3])])
+
+
 def test_links_join_all_within_three_bits(spark):
     rng = np.random.default_rng(5)
     centres = rng.integers(0, 2**63, 6, dtype=np.uint64)
