@@ -16,7 +16,8 @@ Counts cover the whole corpus and no table of them is ever in one place. Each
 shard of documents sends its distinct words, then its distinct bigrams, with
 their counts to ranges of their hashes and gets the sums back; a word that
 all documents share is one entry of a shard. So a task holds a shard or a
-range, and everything grows with the corpus.
+range, and everything grows with the corpus. Shards are of id and text
+together; identical rows are one entry with their number.
 
 Defined results: a null text has no words; a document without words is scored
 on its end alone; a null id is never a target; repeated rows are documents of
@@ -35,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covtab.llm.common import shard_count
+from covtab.llm.common import chunks_of_copies, cut_lineage, merged, shard_count, shard_of, sharded, with_copies
 from covtab.llm.exchange import ROWS, answers_of, pack, rows_of, sent, unpack, word_hashes
 
 #: Production parameters.
@@ -52,20 +53,20 @@ _START, _END, _UNKNOWN = np.uint64(1), np.uint64(2), np.uint64(3)
 _WORDS, _NOTE, _PAIRS = 1, 2, 3
 
 
-def _counts(keys: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys, the number of each place's key, and counts in all and in target places."""
+def _counts(keys: np.ndarray, copies: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys, the number of each place's key, and counts in all and in
+    target places, a place counting as often as its document has copies."""
     distinct, number = np.unique(keys, return_inverse=True)
-    return (distinct, number, np.bincount(number, minlength=distinct.size).astype(np.uint64),
-            np.bincount(number, weights=target, minlength=distinct.size).astype(np.uint64))
+    return (distinct, number, np.bincount(number, weights=copies, minlength=distinct.size).astype(np.uint64),
+            np.bincount(number, weights=copies * target, minlength=distinct.size).astype(np.uint64))
 
 
 class Shard:
-    """The documents of a shard in a fixed order, as one sequence of tokens."""
+    """The distinct documents of a shard in a fixed order, as one sequence of tokens."""
 
     def __init__(self, table: pa.Table):
         named = table.filter(pc.field("is_target")).column("doc_id")
-        docs = table.filter(~pc.field("is_target"))
-        docs = docs.take(pc.sort_indices(docs, sort_keys=[("doc_id", "ascending"), ("text", "ascending")]))
+        docs = merged(table.filter(~pc.field("is_target")))
         self.ids = docs.column("doc_id")
         hashes, sizes = [], []
         for text in docs.column("text"):
@@ -77,6 +78,8 @@ class Shard:
         self.tokens = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         self.sizes = np.array(sizes, dtype=np.int64)
         self.doc = np.repeat(np.arange(self.sizes.size), self.sizes)
+        self.times = docs.column("copies").to_numpy()
+        self.copies = self.times[self.doc].astype(float)
         self.is_target = np.array(pc.is_in(self.ids, value_set=named.combine_chunks().drop_null()).to_pylist(), dtype=bool)
         self.target = self.is_target[self.doc].astype(float)
         self.first = np.cumsum(self.sizes) - self.sizes
@@ -192,13 +195,16 @@ def score(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str
     shards = shard_count(docs.sparkSession, size, SHARD_BYTES)
     id_type = pairs.schema["doc_id"].dataType
     named = target.select(F.col(f"`{doc_id}`").cast(id_type).alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    both = pairs.withColumn("is_target", F.lit(False)).union(
-        named.select("doc_id", F.lit(None).cast("string"), F.lit(True)))
-    by_shard = both.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")).groupBy("shard")
+    # A target goes to each shard that has a row of its id; ids move, texts do not.
+    named = cut_lineage(pairs.where("doc_id IS NOT NULL").select("doc_id", shard_of(shards).alias("shard")).distinct()
+                        .join(named, "doc_id", "left_semi"))
+    both = sharded(pairs, shards).withColumn("is_target", F.lit(False)).union(named.select(
+        "doc_id", F.lit(None).cast("string"), F.lit(0).cast("long"), "shard", F.lit(True)))
+    by_shard = both.groupBy("shard")
 
     def ask_words(key: tuple, table: pa.Table) -> pa.Table:
         shard = Shard(table)
-        distinct, _, everywhere, in_target = _counts(shard.tokens, shard.target)
+        distinct, _, everywhere, in_target = _counts(shard.tokens, shard.copies, shard.target)
         # Every range gets a row, for every answer has the range's part of the totals.
         return rows_of([(b, key[0].as_py(), _WORDS, data) for b, data in sent(distinct, [everywhere, in_target], 64, shards, empty=True)])
 
@@ -207,7 +213,7 @@ def score(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str
         totals = sum(np.frombuffer(data[:56], np.uint64) for _, data in found)
         counts = pack(*_joined(found, 56))
         words = _vocabulary(shard, counts, totals)
-        distinct, _, everywhere, in_target = _counts(_pairs(shard, words), shard.target)
+        distinct, _, everywhere, in_target = _counts(_pairs(shard, words), shard.copies, shard.target)
         rows = [(shards + me, me, _NOTE, totals.tobytes() + counts)]
         return rows_of(rows + [(b, me, _PAIRS, data) for b, data in sent(distinct, [everywhere, in_target], PAIR_BITS, shards)])
 
@@ -220,12 +226,13 @@ def score(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str
         everywhere, in_target = (c.astype(float)[number] for c in _joined(answers_of(answers, _PAIRS)))
         n = shard.sizes
         mean = [np.bincount(shard.doc, weights=loss, minlength=n.size) / n for loss in _losses(shard, words, pair, everywhere, in_target)]
-        return pa.Table.from_arrays([shard.ids, pa.array(n), pa.array(mean[0]), pa.array(mean[1]), pa.array(mean[0] - mean[1])],
+        row, copies = chunks_of_copies(shard.times)
+        return pa.Table.from_arrays([shard.ids.take(pa.array(row)), *(pa.array(c[row]) for c in (n, *mean, mean[0] - mean[1])), pa.array(copies)],
                                     schema=arrow_schema)
 
-    out = StructType.fromDDL(f"doc_id {id_type.simpleString()}, n_tokens long, target_loss double, background_loss double, difference double")
+    out = StructType.fromDDL(f"doc_id {id_type.simpleString()}, n_tokens long, target_loss double, background_loss double, difference double, copies long")
     arrow_schema = to_arrow_schema(out)
     words = by_shard.applyInArrow(ask_words, ROWS).groupBy("bucket").applyInArrow(_sums, ROWS)
     asked = by_shard.cogroup(words.groupBy("shard")).applyInArrow(ask_pairs, ROWS)
     answered = asked.groupBy("bucket").applyInArrow(_sums, ROWS)
-    return by_shard.cogroup(answered.groupBy("shard")).applyInArrow(finish, out)
+    return with_copies(by_shard.cogroup(answered.groupBy("shard")).applyInArrow(finish, out))

@@ -179,9 +179,11 @@ def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
 def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``found`` (pieces) with ``sequence_id`` and ``offset``."""
     spark = found.sparkSession
-    found = cut_lineage(found)
+    columns = found.columns
+    # Numbered and written once, so that rows without an id or with a repeated one are spread and stay where they are.
+    found = cut_lineage(found.withColumn("_number", F.monotonically_increasing_id()))
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = found.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
+    found = found.withColumn("shard", F.pmod(F.xxhash64(*columns, "_number"), F.lit(shards)).cast("int")).drop("_number")
     counts = found.groupBy("length", "shard").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("length", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -191,7 +193,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         histogram[length] = n
     table = plan(histogram, capacity)
 
-    own = Window.partitionBy("length", "shard").orderBy(*found.columns)
+    own = Window.partitionBy("length", "shard").orderBy(*columns)
     ranked = found.withColumn("own", F.row_number().over(own) - 1).join(firsts, ["length", "shard"])
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.col("own")).alias("rank"))
     # Lengths and ranks as one ascending number: at most 45 bits of rank.

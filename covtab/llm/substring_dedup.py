@@ -15,7 +15,8 @@ block whose words also stand elsewhere, at any place.
 
 Both steps send each distinct hash of a shard once, sorted and packed, to a
 range of hashes, and get one bit for each back in the same order. So a passage
-that a third of all documents share costs a shard no more than any other, no
+that a third of all documents share costs a shard no more than any other, shards
+are of id and text together, identical rows are one entry with their number, no
 pairs of places are ever formed, and no task holds more than a shard or a
 range. Blocks are found by 48 bits of hash, which only filters; windows are
 equal by 96 bits.
@@ -33,11 +34,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covtab.llm.common import shard_count
+from covtab.llm.common import chunks_of_copies, merged, shard_count, sharded, with_copies
 from covtab.llm.exchange import ROWS, answers_of, edges_of, rows_of, sent, unpack, word_hashes
 
 #: Production parameter: words of a window. Blocks are the longest of which
@@ -84,11 +84,11 @@ def rolling(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 class Shard:
-    """The documents of a shard, in a fixed order, and the hashes of their words."""
+    """The distinct documents of a shard, in a fixed order, and the hashes of their words."""
 
     def __init__(self, table: pa.Table):
-        order = pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("text", "ascending")])
-        self.table = table.take(order)
+        self.table = merged(table)
+        self.times = self.table.column("copies").to_numpy()
         hashes, sizes = [], []
         for text in self.table.column("text"):
             found = words(text.as_py())
@@ -99,6 +99,7 @@ class Shard:
         self.sizes = np.array(sizes, dtype=np.int64)
         starts = np.cumsum(self.sizes) - self.sizes
         self.at = np.arange(self.hashes.size) - np.repeat(starts, self.sizes)  # of a word, in its document
+        self.copies = np.repeat(self.times, self.sizes)
         self.left = np.repeat(self.sizes, self.sizes) - self.at  # words from it to the document's end
 
     def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,12 +155,12 @@ _BLOCKS, _CANDIDATES, _WINDOWS = 1, 2, 3
 class _Level:
     """Distinct keys of a shard at one level, as sent and as answered."""
 
-    def __init__(self, keys: np.ndarray, check: np.ndarray, mark: np.ndarray, bits: int):
+    def __init__(self, keys: np.ndarray, check: np.ndarray, mark: np.ndarray, copies: np.ndarray, bits: int):
         self.order, self.number = _distinct(keys, check)
         self.n = int(self.number[-1]) + 1 if keys.size else 0
         first = np.flatnonzero(np.diff(self.number, prepend=-1))
         self.keys, self.check = keys[self.order][first], check[self.order][first]
-        times = np.bincount(self.number, minlength=self.n)
+        times = np.bincount(self.number, weights=copies[self.order], minlength=self.n)
         marked = np.bincount(self.number, weights=mark[self.order], minlength=self.n) > 0
         self.flags = (times > 1).astype(np.uint64) + np.uint64(2) * marked.astype(np.uint64)
         self.bits = bits
@@ -179,12 +180,12 @@ class _Level:
 
 def _block_level(shard: Shard) -> tuple[np.ndarray, _Level]:
     starts, keys, mark = shard.blocks()
-    return starts, _Level(keys, np.zeros_like(keys), mark, BLOCK_BITS)
+    return starts, _Level(keys, np.zeros_like(keys), mark, shard.copies[starts], BLOCK_BITS)
 
 
 def _window_level(shard: Shard, candidate: np.ndarray) -> tuple[np.ndarray, _Level]:
     starts, keys, check = shard.windows(candidate)
-    return starts, _Level(keys, check, np.ones(starts.size), 64)
+    return starts, _Level(keys, check, np.ones(starts.size), shard.copies[starts], 64)
 
 
 def _match(bucket: tuple, table: pa.Table) -> pa.Table:
@@ -208,7 +209,6 @@ def mark_repeats(docs: DataFrame, doc_id: str, text: str, finish, schema: str) -
     pairs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     size = pairs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = shard_count(spark, size, SHARD_BYTES)
-    pairs = pairs.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
 
     def probe(key: tuple, table: pa.Table) -> pa.Table:
         _, level = _block_level(Shard(table))
@@ -240,19 +240,20 @@ def mark_repeats(docs: DataFrame, doc_id: str, text: str, finish, schema: str) -
         for id_, body, gone in zip(shard.table.column("doc_id").to_pylist(), shard.table.column("text"),
                                    np.split(removed, np.cumsum(shard.sizes)[:-1])):
             rows.append((id_, *finish(words(body.as_py()), gone)))
-        return pa.table([list(c) for c in zip(*rows)], schema=arrow_schema)
+        row, copies = chunks_of_copies(shard.times)
+        return pa.table([*(list(c) for c in zip(*(rows[k] for k in row.tolist()))), copies], schema=arrow_schema)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     id_type = pairs.schema["doc_id"].dataType.simpleString()
-    out = StructType.fromDDL(f"doc_id {id_type}, {schema}")
+    out = StructType.fromDDL(f"doc_id {id_type}, {schema}, copies long")
     arrow_schema = to_arrow_schema(out)
-    by_shard = pairs.groupBy("shard")
+    by_shard = sharded(pairs, shards).groupBy("shard")
     hits = by_shard.applyInArrow(probe, ROWS).groupBy("bucket").applyInArrow(_match, ROWS)
     windows = by_shard.cogroup(hits.groupBy("shard")).applyInArrow(extend, ROWS)
     repeats = windows.groupBy("bucket").applyInArrow(_match, ROWS)
-    return by_shard.cogroup(repeats.groupBy("shard")).applyInArrow(remove, out)
+    return with_copies(by_shard.cogroup(repeats.groupBy("shard")).applyInArrow(remove, out))
 
 
 def _digest(found: list[bytes], removed: np.ndarray) -> tuple[int, int, str]:

@@ -71,3 +71,13 @@ def test_target_like_documents_score_lower(spark, table):
     named = spark.createDataFrame([(t,) for t in targets], "doc_id long")
     got = {r.doc_id: r.difference for r in L.score(table(rows), named).collect()}
     assert max(got[k] for k in range(101, 200, 2)) < min(got[k] for k in range(100, 200, 2))
+
+
+def test_rows_without_an_id_and_of_one_id(spark, table):
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{rng.randrange(40)}" for _ in range(12))
+    rows = [(None, text()) for _ in range(60)] + [(7, text()) for _ in range(60)] + [(k, text()) for k in range(20, 40)]
+    rows += [(None, "w1 w2")] * 30 + [(7, "w1 w3")] * 30
+    check(spark, table(rows), rows, [7, 21, 22])
+    shards = L.sharded(table(rows).select("doc_id", "text"), 8).groupBy("shard").count().collect()
+    assert len(shards) == 8 and max(r["count"] for r in shards) < 60

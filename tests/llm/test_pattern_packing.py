@@ -102,3 +102,8 @@ def test_fit_recovers_an_exact_mixture():
     x = P.fit(shapes, histogram, steps=2000)
     made = np.bincount(shapes.ravel(), weights=np.repeat(x, 3), minlength=65)
     assert (x >= 0).all() and np.abs(made[1:] - histogram[1:]).max() < 5
+
+
+def test_rows_of_one_id_are_packed_whole(table, library):
+    rows = [(None, f"text {k % 7}") for k in range(300)] + [(7, "same")] * 300
+    check(table(rows), rows, library)

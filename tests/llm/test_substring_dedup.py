@@ -71,3 +71,23 @@ def test_whole_table(spark):
     except Exception:
         pytest.skip("test data not present")
     check(docs, [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+
+
+def test_rows_without_an_id_and_of_one_id_are_spread_over_shards(spark, table):
+    from covtab.llm import common
+
+    for id_ in (None, 7):
+        rows = table([(id_, f"text {k}") for k in range(800)] + [(id_, "same")] * 400).select("doc_id", "text")
+        got = common.sharded(rows, 16).groupBy("shard").sum("copies").collect()
+        assert len(got) == 16 and sum(r[1] for r in got) == 1200
+        largest = max(r.n for r in common.sharded(rows, 16).groupBy("shard").agg({"*": "count"}).toDF("shard", "n").collect())
+        assert largest < 150
+
+
+def test_copies_beyond_one_chunk(table):
+    body = " ".join(f"w{k}" for k in range(40))
+    rows = [(None, body)] * 9000 + [(1, "short")] * 4097 + [(2, "other")]
+    got = Counter(tuple(r) for r in S.removed_words(table(rows)).collect())
+    assert got == Counter({
+        (None, 40, 40, hashlib.sha256(b"").hexdigest()): 9000,
+        (1, 1, 0, hashlib.sha256(b"short").hexdigest()): 4097, (2, 1, 0, hashlib.sha256(b"other").hexdigest()): 1})
