@@ -46,11 +46,12 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations as mails: above its own text each message quotes the
-    one before it, and at a second level the one before that."""
+    one before it, and at a second level the one before that; of messages with
+    one turn, the first by text is quoted."""
     messages = read_table(spark, sf_dir, "conversations")
     text = F.coalesce("text", F.lit(""))
     quote = lambda mark, c: F.regexp_replace(c, "(?m)^", mark)
-    back = lambda n: messages.select("conv_id", (F.col("turn") + n).alias("turn"), text.alias(f"_{n}"))
+    back = lambda n: messages.groupBy("conv_id", (F.col("turn") + n).alias("turn")).agg(F.min(text).alias(f"_{n}"))
     return messages.join(back(1), ["conv_id", "turn"], "left").join(back(2), ["conv_id", "turn"], "left").select(
         "conv_id", "turn", "role", F.concat_ws("\n", quote("> > ", F.col("_2")), quote("> ", F.col("_1")), text).alias("text"))
 

@@ -1,5 +1,8 @@
+import random
+
 from pyspark.sql import functions as F
 
+from covtab.llm import queries
 from covtab.llm import quotation_links as Q
 
 SCHEMA = "conv_id long, turn long, role string, text string, extra string"
@@ -74,6 +77,35 @@ def test_long_chain_in_reply_order(spark):
     assert got[3].chat == "<|u|>\nline 3\n<|end|>\n"
 
 
+def test_positions_sort_like_paths(spark):
+    rng = random.Random(6)
+    rows = [(c, k, "u", (f"> line {c} {rng.randrange(k)}\n" if k and rng.random() < 0.9 else "") + f"line {c} {k}")
+            for c in range(4) for k in range(40)] + [(0, 3, "u", "again"), (None, 1, "u", "x"), (5, None, "u", "y")]
+    df = spark.createDataFrame([(c, t, r, x, "e") for c, t, r, x in rows], SCHEMA).repartition(5)
+    by_path = Q.link_replies(df).collect()
+    placed = Q.link_replies(df, paths=False).collect()
+    assert len(placed) == len(rows) and "path" not in placed[0]
+    order = lambda found, key: [(r.conv_id, r.turn) for r in sorted(found, key=key) if r.conv_id is not None and r.turn is not None]
+    assert order(placed, lambda r: (str(r.conv_id), r.root_turn or 0, r.position)) == order(by_path, lambda r: (str(r.conv_id), r.path))
+
+
+def test_chain_of_100000_turns(spark):
+    n = 100_000
+    texts = F.when(F.col("id") == 0, F.lit("line 0")).otherwise(F.concat(F.lit("> line "), (F.col("id") - 1).cast("string"), F.lit("\nline "), F.col("id").cast("string")))
+    df = spark.range(n).select(F.lit(9).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.lit("u").alias("role"), texts.alias("text"))
+    found = Q.in_reply_order(Q.link_replies(df, paths=False)).select("turn", "parent_turn", "root_turn", "position").collect()
+    assert [tuple(r) for r in found] == [(k, k - 1 if k else None, 0, k - n) for k in range(n)]
+
+
+def test_mails_of_repeated_turns(spark, monkeypatch):
+    rows = [(1, t, "u", f"text {t} {k}") for t in range(3) for k in range(20)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    monkeypatch.setattr(queries, "read_table", lambda *_: df)
+    got = queries._mails(spark, "").collect()
+    assert len(got) == len(rows) and {r.text.split("\n")[-1] for r in got} == {r[3] for r in rows}
+    assert all(r.text.startswith("> > text 0 0\n> text 1 0\n") for r in got if r.turn == 2)
+
+
 def test_native_plan(spark):
     df = spark.createDataFrame([(1, 0, "u", "a", "e")], SCHEMA)
     plan = Q.link_replies(df).select(F.col("*"))._jdf.queryExecution().executedPlan().toString()
