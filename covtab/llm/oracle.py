@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from covtab.llm import lm_scoring, quality_rules, substring_dedup
+from covtab.llm import lm_scoring, quality_rules, substring_dedup, vector_codes
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -180,10 +180,47 @@ FROM texts LEFT JOIN kept USING (row_no)
 """
 
 
+def _vector_codes() -> str:
+    parts, entries, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
+    far = "list_sum(list_transform(list_zip(s.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    stages = []
+    for n in range(rounds + 1):
+        stages.append(f"""near{n} AS MATERIALIZED (
+    SELECT r, p, min({far} * {entries} + e) AS best FROM split s JOIN book{n} b USING (p) GROUP BY r, p
+)""")
+        if n < rounds:
+            stages.append(f"""book{n + 1} AS MATERIALIZED (
+    SELECT p, e, coalesce(m.x, b.x) AS x FROM book{n} b LEFT JOIN (
+        SELECT p, e, list((total - ((total % n) + n) % n) // n ORDER BY i) AS x FROM (
+            SELECT p, best % {entries} AS e, i, sum(x[i])::BIGINT AS total, count(*) AS n
+            FROM near{n} JOIN split USING (r, p), range(1, len(x) + 1) t(i) GROUP BY ALL
+        ) GROUP BY p, e
+    ) m USING (p, e)
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(NOT isfinite(x), true))) = 0
+), split AS MATERIALIZED (
+    SELECT r, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS x FROM kept, range({parts}) t(p)
+), book0 AS MATERIALIZED (
+    SELECT p, r - 1 AS e, x FROM split WHERE r <= {entries}
+), {", ".join(stages)}, codes AS (
+    SELECT r, string_agg(format('{{:02x}}', best % {entries}), '' ORDER BY p) AS code, sum(best // {entries})::BIGINT AS error
+    FROM near{rounds} GROUP BY r
+), books AS (
+    SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (r), books
+"""
+
+
 ORACLE = {
     "op1_lm_scoring": _lm_scoring(),
     "op2_substring_dedup": _SUBSTRINGS,
     "op4_exact_dedup": _EXACT_DEDUP,
     "op6_quotation_linking": _QUOTATIONS,
     "op9_quality_rules": _quality(),
+    "op13_vector_codes": _vector_codes(),
 }

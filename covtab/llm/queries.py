@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from covtab.llm import (
     exact_dedup, lm_scoring, matrix_output, pattern_packing, piece_bpe, quality_rules, quotation_links, secret_scan, simhash,
-    substring_dedup,
+    substring_dedup, vector_codes,
 )
 from covtab.llm.common import read_table
 
@@ -88,6 +88,13 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern_packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of each vector, its error, and that of its label."""
+    found, books = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+                        F.lit(vector_codes.codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
@@ -99,4 +106,5 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_pattern_packing": op10_pattern_packing,
+    "op13_vector_codes": op13_vector_codes,
 }
