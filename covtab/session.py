@@ -107,6 +107,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_table(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared checkpoint folder and
+    read it back: like :func:`materialize`, but later readers prune columns and
+    Spark knows the table's size. It stays there until its folder is deleted
+    (see :func:`run_folder`)."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize_layout(df: DataFrame) -> DataFrame:
     """:func:`materialize` that also keeps the partitioning and the order
     within partitions, so a later join or aggregation on the same key needs no
