@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covtab.session import materialize
+from covtab.session import materialize, scratch_table
 
 #: Characters that separate words: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
@@ -42,6 +42,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """:func:`cut_lineage` by a compressed table, of which readers read only the columns they use."""
+    return scratch_table(df)
+
+
 def shard_count(spark: SparkSession, total_bytes: int, bytes_per_shard: int) -> int:
     """Shards of about ``bytes_per_shard``, at least one for each shuffle partition."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total_bytes) // bytes_per_shard), 1)
