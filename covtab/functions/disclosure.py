@@ -45,14 +45,25 @@ def _nearest(v: str, base: int) -> str:
     return f"(({v} + {base // 2}) - pmod({v} + {base // 2}, {base}))"
 
 
+def suppress_sql(c, rc: str = SUPPRESSED, base: int = ROUND_BASE, threshold: int = SUPPRESS_MAX, upper: int = UPPER_LIMIT,
+                 text: bool = True) -> str:
+    """The disclosure rule as SQL text over a column name or SQL expression: the
+    published text, or the number (null where suppressed)."""
+    v = f"CAST({_sql(c)} AS BIGINT)"
+    if text:
+        hidden = "'" + rc.replace("'", "''") + "'"
+        inside = f"CASE WHEN {v} = 0 THEN '0' WHEN {v} <= {threshold} THEN {hidden} ELSE CAST({_nearest(v, base)} AS STRING) END"
+    else:
+        inside = (f"CASE WHEN {v} = 0 THEN CAST(0 AS BIGINT) WHEN {v} <= {threshold} THEN CAST(NULL AS BIGINT) "
+                  f"ELSE {_nearest(v, base)} END")
+    return _checked_case(v, inside, upper, _sql(c))
+
+
 def rounded_or_null(c, base: int = ROUND_BASE, threshold: int = SUPPRESS_MAX, upper: int = UPPER_LIMIT) -> Column:
     """Numeric twin of :func:`suppress_round`: 0 stays 0, ``1..threshold`` is
     null (suppressed), larger counts are rounded to the nearest ``base``.
     Negative counts and counts above ``upper`` raise. Null stays null."""
-    v = f"CAST({_sql(c)} AS BIGINT)"
-    inside = (f"CASE WHEN {v} = 0 THEN CAST(0 AS BIGINT) WHEN {v} <= {threshold} THEN CAST(NULL AS BIGINT) "
-              f"ELSE {_nearest(v, base)} END")
-    return F.expr(_checked_case(v, inside, upper, _sql(c)))
+    return F.expr(suppress_sql(c, base=base, threshold=threshold, upper=upper, text=False))
 
 
 def suppress_round(c, rc: str = SUPPRESSED, base: int = ROUND_BASE, threshold: int = SUPPRESS_MAX,
@@ -61,11 +72,14 @@ def suppress_round(c, rc: str = SUPPRESSED, base: int = ROUND_BASE, threshold: i
     the count rounded to the nearest ``base``. A fraction, a negative count or
     one above ``upper`` raises, as in the original rule. Null input gives null
     (fill first)."""
-    v = f"CAST({_sql(c)} AS BIGINT)"
-    rc_sql = "'" + rc.replace("'", "''") + "'"
-    inside = (f"CASE WHEN {v} = 0 THEN '0' WHEN {v} <= {threshold} THEN {rc_sql} "
-              f"ELSE CAST({_nearest(v, base)} AS STRING) END")
-    return F.expr(_checked_case(v, inside, upper, _sql(c)))
+    return F.expr(suppress_sql(c, rc, base, threshold, upper))
+
+
+def rate_sql(num, den, decimals: int = RATE_DECIMALS) -> str:
+    """:func:`rate` as SQL text."""
+    scale = float(10 ** decimals)
+    q = f"try_divide(CAST({_sql(num)} AS DOUBLE), nullif(CAST({_sql(den)} AS DOUBLE), 0.0D))"
+    return f"rint({q} * {scale}D) / {scale}D"
 
 
 def rate(num, den, decimals: int = RATE_DECIMALS) -> Column:
@@ -74,9 +88,7 @@ def rate(num, den, decimals: int = RATE_DECIMALS) -> Column:
     Null when either side is null (suppressed) or the denominator is 0.
     ``rint(x * 10^d) / 10^d`` is the same arithmetic as numpy's round.
     """
-    scale = float(10 ** decimals)
-    q = f"try_divide(CAST({_sql(num)} AS DOUBLE), nullif(CAST({_sql(den)} AS DOUBLE), 0.0D))"
-    return F.expr(f"rint({q} * {scale}D) / {scale}D")
+    return F.expr(rate_sql(num, den, decimals))
 
 
 def rate_text(c, rc: str = SUPPRESSED) -> Column:

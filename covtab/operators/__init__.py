@@ -4,7 +4,10 @@ named columns; :mod:`covtab.plans.report` wires them into the full report."""
 from covtab.operators.attribute import (
     attribute,
     attributed_cells,
+    asset_values,
     entity_category,
+    register_pairs,
+    settled_values,
     keep_living,
     living,
     registrations,

@@ -3,7 +3,7 @@ the organisations an entity is registered with."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from covtab.operators.dims import facility_orgs
@@ -26,14 +26,21 @@ def keep_living(asset: DataFrame, living_ids: DataFrame) -> DataFrame:
     return asset.join(living_ids, "entity_id", "left_semi")
 
 
-def _register(pairs: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Pairs looked up in the map. Pairs without a facility are set aside
-    first: they match nothing, and there may be very many of them."""
+def register_pairs(pairs: DataFrame, mapping: DataFrame, nth: str | None = None) -> DataFrame:
+    """Distinct (entity, facility) pairs looked up in the map. Pairs without a
+    facility are set aside first: they match nothing, and there may be very many
+    of them. With ``nth``, a column of that name counts a facility's org rows
+    from 1."""
     orgs = facility_orgs(mapping)
+    extra = ["org_code", "org_name"]
+    if nth:
+        orgs = orgs.withColumn(nth, F.row_number().over(Window.partitionBy("facility_code").orderBy(*extra)))
+        extra.append(nth)
     named = pairs.where(F.col("facility_code").isNotNull()).join(orgs, "facility_code", "left")
     nowhere = pairs.where(F.col("facility_code").isNull()).select(
-        "*", *[F.lit(None).cast(orgs.schema[c].dataType).alias(c) for c in ("org_code", "org_name")])
-    return named.select(*REGISTRATION_COLUMNS).union(nowhere.select(*REGISTRATION_COLUMNS))
+        "*", *[F.lit(None).cast(orgs.schema[c].dataType).alias(c) for c in extra])
+    columns = ["entity_id", "facility_code", *extra]
+    return named.select(*columns).union(nowhere.select(*columns))
 
 
 def registrations(facts: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -46,35 +53,52 @@ def registrations(facts: DataFrame, mapping: DataFrame) -> DataFrame:
     so the map never meets the raw facts.
     """
     pairs = facts.where(F.col("death_date").isNull()).select("entity_id", "facility_code").distinct()
-    return _register(pairs, mapping)
+    return register_pairs(pairs, mapping)
 
 
 def registrations_reduced(reduced: DataFrame, mapping: DataFrame) -> DataFrame:
     """:func:`registrations` from :func:`covtab.operators.resolve.reduce_facts` output."""
     pairs = reduced.where(F.col("alive")).select("entity_id", "facility_code").distinct()
-    return _register(pairs, mapping)
+    return register_pairs(pairs, mapping)
+
+
+def asset_values(asset: DataFrame) -> DataFrame:
+    """The distinct (entity, category, source) of an asset with the latest
+    attribution date of each, without null categories: a hash aggregate,
+    combined in the map tasks, so an entity with very many rows is a few here."""
+    return asset.where(F.col("category").isNotNull()).groupBy("entity_id", "category", "source").agg(
+        F.max("attributed_on").alias("attributed_on"))
+
+
+def settled_values(values: DataFrame) -> DataFrame:
+    """One row per entity of :func:`asset_values`: its category if it has only
+    one, with the latest attribution date and that row's source (of several, the
+    largest); entities with several categories are dropped."""
+    own = Window.partitionBy("entity_id")
+    latest = own.orderBy(F.col("attributed_on").desc_nulls_last(), F.col("source").desc_nulls_last())
+    ranked = values.withColumns({"_nth": F.row_number().over(latest), "_lo": F.min("category").over(own), "_hi": F.max("category").over(own)})
+    return ranked.where("_nth = 1 AND _lo = _hi").select("entity_id", "category", "attributed_on", "source")
 
 
 def entity_category(asset: DataFrame) -> DataFrame:
     """One row per entity of an asset: its category if the entity's non-null
     categories are all the same, with the latest attribution date and that
-    row's source; entities with several categories are dropped. One
-    aggregation on entity (map-side combined)."""
-    return (
-        asset.where(F.col("category").isNotNull())
-        .groupBy("entity_id")
-        .agg(
-            F.min("category").alias("_lo"),
-            F.max("category").alias("category"),
-            F.max_by("source", F.struct("attributed_on", "source")).alias("source"),
-            F.max("attributed_on").alias("attributed_on"),
-        )
-        .where(F.col("_lo") == F.col("category"))
-        .select("entity_id", "category", "attributed_on", "source")
-    )
-
-
-def attribute(asset: DataFrame, regs: DataFrame, parity: bool = False) -> DataFrame:
+    row's source; entities with several categories are dropped."""
+    return settled_values(asset_values(asset))
+
+
+def _one_category(values: DataFrame, key: str) -> DataFrame:
+    """The ``key`` of rows (key, category) that have exactly one distinct non-null category."""
+    distinct = values.groupBy(key, "category").agg(F.lit(1).alias("_one"))
+    return distinct.groupBy(key).agg(F.count("category").alias("_values")).where("_values = 1").select(key)
+
+
+def _joined_key() -> Column:
+    """The registration as one text without separators: ('1', '23') and ('12', '3') are the same."""
+    return F.concat("entity_id", "facility_code", "org_code")
+
+
+def attribute(asset: DataFrame, regs: DataFrame, parity: bool = False, joined_key: bool = False) -> DataFrame:
     """Attach an entity-level category asset to its registrations.
 
     An entity counts for a (facility, org) registration only if its asset
@@ -90,36 +114,37 @@ def attribute(asset: DataFrame, regs: DataFrame, parity: bool = False) -> DataFr
 
     ``parity=True`` reproduces the original rows: every asset row of an
     unambiguous entity (exact duplicates and null-category rows included)
-    joined to every registration.
-
-    The conflict test depends only on the entity's asset rows, so it is
-    computed per entity before the join and not per registration key; the
-    result is the same.
+    joined to every registration. The conflict test depends only on the
+    entity's asset rows, so it is computed per entity before the join and not
+    per registration; the result is the same. ``joined_key=True`` (with
+    ``parity``) makes the test by the original's key, entity, facility and org
+    written together, where registrations of several entities can collide; it
+    must see every registration of an asset entity.
     """
     keyed = regs.where(
         F.col("entity_id").isNotNull() & F.col("facility_code").isNotNull() & F.col("org_code").isNotNull()
     ).select(*REGISTRATION_COLUMNS)
+    if joined_key:
+        held = asset.join(keyed, "entity_id", "inner").withColumn("_key", _joined_key())
+        return held.join(_one_category(held.select("_key", "category"), "_key"), "_key", "left_semi").select(*ATTRIBUTION_COLUMNS)
     if parity:
-        ok = (
-            asset.groupBy("entity_id")
-            .agg(F.min("category").alias("_lo"), F.max("category").alias("_hi"))
-            .where(F.col("_lo") == F.col("_hi"))
-            .select("entity_id")
-        )
-        rows = asset.join(ok, "entity_id", "left_semi")
+        rows = asset.join(_one_category(asset, "entity_id"), "entity_id", "left_semi")
     else:
         rows = entity_category(asset)
     return rows.join(keyed, "entity_id", "inner").select(*ATTRIBUTION_COLUMNS)
 
 
-def attributed_cells(asset: DataFrame, regs: DataFrame) -> DataFrame:
+def attributed_cells(asset: DataFrame, regs: DataFrame, joined_key: bool = False) -> DataFrame:
     """Counts per (org, category) of :func:`attribute` with ``parity=True``,
     by weights: an entity's asset rows and its registrations are counted
-    before they meet, so their product is a number and not rows."""
-    unambiguous = asset.groupBy("entity_id", "category").agg(F.count("*").alias("rows"))
-    one = unambiguous.groupBy("entity_id").agg(F.count("category").alias("values")).where("values = 1").select("entity_id")
-    weights = unambiguous.join(one, "entity_id", "left_semi")
+    before they meet, so their product is a number and not rows. With
+    ``joined_key`` each registration has a weight of its own."""
+    weights = asset.groupBy("entity_id", "category").agg(F.count("*").alias("rows"))
     keyed = regs.where("entity_id IS NOT NULL AND facility_code IS NOT NULL AND org_code IS NOT NULL")
-    places = keyed.groupBy("entity_id", "org_code", "org_name").agg(F.count("*").alias("places"))
-    return weights.join(places, "entity_id").groupBy("org_code", "org_name", "category").agg(
-        F.sum(F.col("rows") * F.col("places")).alias("n"))
+    if joined_key:
+        held = weights.join(keyed.select(*REGISTRATION_COLUMNS), "entity_id").withColumn("_key", _joined_key())
+        counted = held.join(_one_category(held.select("_key", "category"), "_key"), "_key", "left_semi").withColumn("places", F.lit(1))
+    else:
+        places = keyed.groupBy("entity_id", "org_code", "org_name").agg(F.count("*").alias("places"))
+        counted = weights.join(_one_category(weights, "entity_id"), "entity_id", "left_semi").join(places, "entity_id")
+    return counted.groupBy("org_code", "org_name", "category").agg(F.sum(F.col("rows") * F.col("places")).alias("n"))

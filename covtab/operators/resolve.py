@@ -9,14 +9,12 @@ Two forms are provided:
 
 * the staged building blocks :func:`latest_per_key`, :func:`best_priority`
   and :func:`drop_conflicts`, each usable on any table;
-* the fused form :func:`resolve_entities`, which needs two aggregations and
-  no self-join. Level one groups by (entity, priority, source, category)
-  with only a date in the buffer, so it runs as a hash aggregate with
-  map-side combining; a hot entity is reduced inside each map task before
-  anything is shuffled. Level two sees at most a handful of rows per entity
-  and picks the best (date, priority) with ``max`` / ``min`` over structs:
-  the entity is unambiguous exactly when the largest and the smallest
-  (category, source) at the best key agree.
+* the fused form :func:`resolve_entities`, without a self-join. Level one
+  groups by (entity, priority, source, category) with only a date in the
+  buffer, so it runs as a hash aggregate with map-side combining; a hot entity
+  is reduced inside each map task before anything is shuffled. Level two sees a
+  handful of rows per entity, ordered by one long that holds day and priority:
+  the first row is the entity's, unless the second has the same key.
 
 :func:`reduce_facts` goes one step further for the full report: a single
 scan of the fact table yields everything the report needs per
@@ -26,7 +24,7 @@ and shuffled once, already combined.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from covtab.functions.predicates import known_code
@@ -83,46 +81,32 @@ def resolve_staged(obs: DataFrame) -> DataFrame:
 
 # --- fused resolution ---------------------------------------------------------
 
-def _hi(day: Column, priority: Column, value: Column, source: Column) -> Column:
-    # Largest = latest day, then lowest priority, then largest (value, source).
-    return F.struct(day.alias("d"), (-priority).alias("np"), value.alias("v"), source.alias("s"))
+def _order_key(day: Column, priority: Column) -> Column:
+    """One long: larger for a later day, and on a day for a lower priority number."""
+    return F.unix_date(day).cast("long") * F.lit(1 << 32) - priority
 
 
-def _lo(day: Column, priority: Column, value: Column, source: Column) -> Column:
-    # Smallest = latest day, then lowest priority, then smallest (value, source).
-    return F.struct((-day).alias("nd"), priority.alias("p"), value.alias("v"), source.alias("s"))
-
-
-def _pick(hi: Column, lo: Column) -> dict:
-    unique = (hi["v"] == lo["v"]) & (hi["s"] == lo["s"])
-    return {
-        "category": F.when(unique, hi["v"]),
-        "attributed_on": F.when(unique, F.date_from_unix_date(hi["d"])),
-        "source": F.when(unique, hi["s"]),
-        "priority": F.when(unique, -hi["np"]),
-    }
+def _first_of_entity(values: DataFrame) -> DataFrame:
+    """The row of the largest ``_key`` of each entity, and ``_single``: no other row has that key."""
+    by_key = Window.partitionBy("entity_id").orderBy(F.col("_key").desc_nulls_last())
+    ranked = values.withColumns({"_nth": F.row_number().over(by_key), "_next": F.lead("_key").over(by_key)})
+    single = F.col("_key").isNotNull() & (F.col("_next").isNull() | (F.col("_next") < F.col("_key")))
+    return ranked.where("_nth = 1").withColumn("_single", single).drop("_nth", "_next", "_key")
 
 
 def resolve_entities(obs: DataFrame) -> DataFrame:
     """Fused resolution of an observation table
     ``(entity_id, category, recorded_on, source, priority)``.
 
-    Same rows as :func:`resolve_staged`, in two aggregations.
+    Same rows as :func:`resolve_staged`: a hash aggregate to the values of an
+    entity, and a window over the few that are left of each.
     """
     valid = obs.where(
         F.col("entity_id").isNotNull() & F.col("recorded_on").isNotNull() & F.col("category").isNotNull()
     )
-    lvl1 = valid.groupBy("entity_id", "priority", "source", "category").agg(
-        F.max("recorded_on").alias("recorded_on"))
-    day = F.unix_date("recorded_on")
-    args = (day, F.col("priority"), F.col("category"), F.col("source"))
-    lvl2 = lvl1.groupBy("entity_id").agg(F.max(_hi(*args)).alias("hi"), F.min(_lo(*args)).alias("lo"))
-    picked = _pick(F.col("hi"), F.col("lo"))
-    return (
-        lvl2.select("entity_id", *[v.alias(k) for k, v in picked.items()])
-        .where(F.col("category").isNotNull())
-        .select(*RESOLVED_COLUMNS)
-    )
+    values = valid.groupBy("entity_id", "priority", "source", "category").agg(F.max("recorded_on").alias("attributed_on"))
+    first = _first_of_entity(values.withColumn("_key", _order_key(F.col("attributed_on"), F.col("priority"))))
+    return first.where("_single").select(*RESOLVED_COLUMNS)
 
 
 # --- single-scan reduction of the facts ---------------------------------------
@@ -139,11 +123,14 @@ def reduce_facts(facts: DataFrame, concept_map: DataFrame) -> DataFrame:
     registration collapse into one. Per row: latest record date of the mapped
     category, latest period end of the direct category, and whether any
     source row has no death date. This is the only pass over the facts;
-    resolution, living test and registrations all derive from it.
+    resolution, living test and registrations all derive from it. Rows without
+    an entity have no category to settle, so they are one row for a facility,
+    however many they are.
     """
     joined = facts.join(known_concepts(concept_map), "concept_code", "left")
-    mapped = F.col("category")
-    direct = F.when(known_code("direct_category"), F.col("direct_category"))
+    named = F.col("entity_id").isNotNull()
+    mapped = F.when(named, F.col("category"))
+    direct = F.when(named & known_code("direct_category"), F.col("direct_category"))
     return joined.groupBy(
         "entity_id", "facility_code", mapped.alias("mapped_category"), direct.alias("direct_category")
     ).agg(
@@ -165,14 +152,21 @@ def by_entity(reduced: DataFrame) -> DataFrame:
 
 def resolve_reduced(reduced: DataFrame) -> DataFrame:
     """Per entity: the resolved category (null if none or ambiguous) and the
-    living flag, from :func:`reduce_facts` output. One aggregation on entity."""
-    m_ok = F.col("mapped_category").isNotNull() & F.col("mapped_on").isNotNull()
-    d_ok = F.col("direct_category").isNotNull() & F.col("direct_on").isNotNull()
-    m_args = (F.unix_date("mapped_on"), F.lit(PRIORITY_CODED), F.col("mapped_category"), F.lit(SOURCE_CODED))
-    d_args = (F.unix_date("direct_on"), F.lit(PRIORITY_DIRECT), F.col("direct_category"), F.lit(SOURCE_DIRECT))
-    hi = F.greatest(F.when(m_ok, _hi(*m_args)), F.when(d_ok, _hi(*d_args)))
-    lo = F.least(F.when(m_ok, _lo(*m_args)), F.when(d_ok, _lo(*d_args)))
-    agg = reduced.where(F.col("entity_id").isNotNull()).groupBy("entity_id").agg(
-        F.max(hi).alias("hi"), F.min(lo).alias("lo"), F.bool_or("alive").alias("alive"))
-    picked = _pick(F.col("hi"), F.col("lo"))
-    return agg.select("entity_id", *[picked[k].alias(k) for k in ("category", "attributed_on", "source")], "alive")
+    living flag, from :func:`reduce_facts` output. A hash aggregate to the
+    values of an entity and a window over them; rows that are laid out by entity
+    are not shuffled."""
+
+    def value(category: str, day: str, priority: int, source: str) -> Column:
+        ok = F.col(category).isNotNull() & F.col(day).isNotNull()
+        return F.struct(F.when(ok, F.col(category)).alias("category"), F.when(ok, F.lit(source)).alias("source"),
+                        F.when(ok, F.col(day)).alias("day"), F.when(ok, _order_key(F.col(day), F.lit(priority))).alias("key"))
+
+    both = F.array(value("mapped_category", "mapped_on", PRIORITY_CODED, SOURCE_CODED),
+                   value("direct_category", "direct_on", PRIORITY_DIRECT, SOURCE_DIRECT))
+    seen = reduced.where(F.col("entity_id").isNotNull()).select("entity_id", "alive", F.explode(both).alias("v"))
+    values = seen.groupBy("entity_id", F.col("v.category").alias("category"), F.col("v.source").alias("source")).agg(
+        F.max("v.day").alias("attributed_on"), F.max("v.key").alias("_key"), F.bool_or("alive").alias("alive"))
+    any_row = F.max("alive").over(Window.partitionBy("entity_id"))
+    first = _first_of_entity(values.withColumn("alive", any_row))
+    picked = [F.when(F.col("_single"), F.col(c)).alias(c) for c in ("category", "attributed_on", "source")]
+    return first.select("entity_id", *picked, "alive")

@@ -98,12 +98,17 @@ class JobParams:
     ``asof`` limits the dimensions only (facilities and orgs valid on that
     day); facts are not cut at it. ``parity`` reproduces the original job's
     quirks where this library deliberately differs (see README "Semantics").
+    ``joined_key`` (in parity) also makes its conflict test by the original's
+    key without separators, in which registrations can collide.
     """
 
     asof: _dt.date
     domain: tuple = CATEGORY_DOMAIN
     parity: bool = False
+    joined_key: bool = False
 
     def __post_init__(self):
         object.__setattr__(self, "asof", as_date(self.asof))
         object.__setattr__(self, "domain", tuple(self.domain))
+        if self.joined_key and not self.parity:
+            raise ValueError("joined_key is a quirk of parity mode")

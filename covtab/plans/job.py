@@ -6,7 +6,7 @@ publish the tables with their notes.
         --facilities facility_table --orgs org_table --asset asset_table \\
         --out /shared/reports/2024-03-31 [--format csv|parquet] [--parity] [--force] \\
         [--rename facts:PERSON_ID=entity_id ...] [--domain A,B,C] \\
-        [--title TEXT] [--organisation TEXT] [--footnote TEXT ...]
+        [--title TEXT] [--organisation TEXT] [--footnote TEXT ...] [--keep N]
 
 Sources are catalog table names or parquet paths. The session's
 ``spark.checkpoint.dir`` must name a shared folder on a cluster.
@@ -21,10 +21,10 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 
 from covtab.params import CATEGORY_DOMAIN, JobParams
-from covtab.plans.publish import publish_tables, read_published
+from covtab.plans.publish import Publication, prune_published, read_published
 from covtab.plans.quality import blocking
 from covtab.plans.report import build_report
-from covtab.session import run_folder
+from covtab.session import Scratch
 from covtab.sources import read_inputs
 
 
@@ -35,44 +35,55 @@ class ChecksFailed(RuntimeError):
 def run_job(spark: SparkSession, sources: dict, params: JobParams, out: str, fmt: str = "csv",
             renames: Mapping[str, Mapping[str, str]] | None = None, notes: Mapping | None = None,
             force: bool = False) -> dict:
-    """Check, then publish. Returns the written folders, the checks as
-    DataFrames over what was written, and the elapsed seconds.
-
-    ``_freshness`` and ``_quality`` are written first. If the quality report
-    has a blocking row (see :mod:`covtab.plans.quality`) the job stops with
-    :class:`ChecksFailed` and publishes nothing, unless ``force``. ``_metrics``
-    has the seconds of each step and the rows of each table. Stages that the
-    run writes to the checkpoint folder are deleted at its end.
+    """Check, then publish as one version (see :mod:`covtab.plans.publish`).
+    Returns the written folders, the checks as DataFrames over what was
+    written, the manifest's number, and the elapsed seconds.
+
+    The version holds the tables, their notes, ``_freshness``, ``_quality`` and
+    ``_metrics``: the seconds of each step, and what the writing jobs counted.
+    If the quality report has a blocking row (see :mod:`covtab.plans.quality`)
+    the job stops with :class:`ChecksFailed` and publishes nothing, unless
+    ``force``; its checks are then in ``{out}/_freshness`` and ``{out}/_quality``.
+    Stages that the run writes to the checkpoint folder are deleted at its end.
     """
     out = out.rstrip("/")
     written: dict[str, str] = {}
     seconds: dict[str, float] = {}
     started = last = time.perf_counter()
 
-    def save(name: str, df) -> None:
-        df.coalesce(1).write.mode("overwrite").format(fmt).option("header", True).save(f"{out}/_{name}")
-        written[f"_{name}"] = f"{out}/_{name}"
-
     def lap(step: str) -> None:
         nonlocal last
         now = time.perf_counter()
         seconds[step], last = round(now - last, 3), now
 
-    with run_folder(spark):
-        report = build_report(read_inputs(spark, sources, renames), params)
-        save("freshness", report.stages["freshness"])
-        save("quality", report.stages["quality"])
-        checks = {name: read_published(spark, written[f"_{name}"], fmt) for name in ("freshness", "quality")}
+    with Scratch(spark, "job") as scratch:
+        report = build_report(read_inputs(spark, sources, renames), params, scratch=scratch)
+        checks = {name: scratch.table(report.stages[name], name) for name in ("freshness", "quality")}
         lap("checks")
         bad = blocking(checks["quality"])
         if not force and not bad.isEmpty():
+            for name, df in checks.items():
+                df.repartition(1).write.mode("overwrite").format(fmt).option("header", True).save(f"{out}/_{name}")
             first = bad.orderBy("check", "subject").first()
-            raise ChecksFailed(f"{first['check']} of {first['subject']}: {first['value']}; see {written['_quality']}")
-        written |= publish_tables(dict(report.tables), out, fmt, notes=notes)
-        lap("tables")
-        rows = [(f"seconds_{k}", v) for k, v in seconds.items()] + [("seconds", round(time.perf_counter() - started, 3))]
-        save("metrics", spark.createDataFrame(rows, "metric string, value double"))
-    return {"written": written, "checks": checks, "seconds": round(time.perf_counter() - started, 3)}
+            raise ChecksFailed(f"{first['check']} of {first['subject']}: {first['value']}; see {out}/_quality")
+        version = Publication(spark, out, fmt)
+        try:
+            for name, df in report.tables.items():
+                written[name] = version.add(name, df)
+            written["publication_notes"] = version.add_notes(notes)
+            for name, df in checks.items():
+                written[f"_{name}"] = version.add(f"_{name}", df)
+            lap("tables")
+            counted = {k: v for k, v in report.metrics().items() if isinstance(v, int)}
+            rows = [(f"seconds_{k}", v) for k, v in seconds.items()] + [("seconds", round(time.perf_counter() - started, 3))]
+            rows += [(k, float(v)) for k, v in counted.items()]
+            written["_metrics"] = version.add("_metrics", spark.createDataFrame(rows, "metric string, value double"))
+            number = version.commit(asof=params.asof.isoformat(), parity=params.parity)
+        except BaseException:
+            version.abandon()
+            raise
+    checks = {name: read_published(spark, written[f"_{name}"], fmt) for name in ("freshness", "quality")}
+    return {"written": written, "checks": checks, "number": number, "seconds": round(time.perf_counter() - started, 3)}
 
 
 def _renames(given: list[str]) -> dict[str, dict[str, str]]:
@@ -99,6 +110,7 @@ def main(argv=None) -> None:
     ap.add_argument("--title")
     ap.add_argument("--organisation")
     ap.add_argument("--footnote", action="append")
+    ap.add_argument("--keep", type=int, help="delete older publications but for the last N")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("covtab").getOrCreate()
     sources = {"facts": a.facts, "concept_map": a.concept_map, "facilities": a.facilities,
@@ -106,6 +118,8 @@ def main(argv=None) -> None:
     given = {"title": a.title, "organisation": a.organisation, "footnotes": a.footnote}
     res = run_job(spark, sources, JobParams(asof=a.asof, parity=a.parity, domain=tuple(a.domain.split(","))), a.out, a.format,
                   _renames(a.rename), {k: v for k, v in given.items() if v is not None}, a.force)
+    if a.keep:
+        prune_published(spark, a.out, a.keep)
     print({"written": res["written"], "seconds": res["seconds"]})
 
 

@@ -3,13 +3,15 @@
 One entry per operator of the report, each ``(spark, sf_dir) -> DataFrame``.
 The row-level operators are exercised through their standalone form (e.g.
 registrations straight from the facts); the published tables go through the
-fused report plan. All are lazy but ``published_order``, ``publication_notes``
-and ``publish_roundtrip``, which write stages as a run would.
+fused report plan. All are lazy but ``published_order``, ``publication_notes``,
+``publish_roundtrip``, ``publication_tables`` and ``typed_readback``, which write
+stages as a run would.
 ``covtab.sources.demo_sql.ORACLE`` holds the same queries as SQL.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,16 +49,19 @@ from covtab.operators import (
 from covtab.functions import suppress_round
 from covtab.params import JobParams, SOURCE_CODED, SOURCE_DIRECT
 from covtab.plans.publish import (
+    open_published,
     publication_notes,
     publish_tables,
     published_order,
     read_published,
+    read_typed,
     scratch_folder,
 )
 from covtab.plans.quality import freshness, quality_report
 from covtab.plans.report import build_report, resolved_living
+from covtab.plans.sql import RECORDS_BY_ORG, register_functions, register_inputs, run_sql
 from covtab.plans.views import register_views
-from covtab.sources.demo import DEMO_ASOF, demo_asset_by_order, demo_inputs
+from covtab.sources.demo import DEMO_ASOF, DEMO_DAYS, demo_asset_by_order, demo_inputs
 from covtab.sources.tables import read_inputs
 
 COVERAGE_MEASURES = ("known", "alive", "unknown")
@@ -124,8 +129,8 @@ class _Ctx:
     def rounded_s(self):
         return suppress_table(with_total(self.cov_s(), COVERAGE_MEASURES), COVERAGE_MEASURES)
 
-    def report(self, parity: bool = False, materialise: bool = False):
-        return build_report(self.i, JobParams(asof=DEMO_ASOF, parity=parity), materialise=materialise)
+    def report(self, parity: bool = False, materialise: bool = False, joined_key: bool = False):
+        return build_report(self.i, JobParams(asof=DEMO_ASOF, parity=parity, joined_key=joined_key), materialise=materialise)
 
 
 def _dedupe_both(c: _Ctx) -> DataFrame:
@@ -152,6 +157,33 @@ def _roundtrip(c: _Ctx) -> DataFrame:
     return back[0].union(back[1])
 
 
+def _publication(c: _Ctx) -> DataFrame:
+    """All five tables as readers find them after two publications, a row as text."""
+    folder = scratch_folder(c.spark, "published")
+    rep = c.report(materialise=True)
+    publish_tables({"table_1": rep.tables["table_2"]}, folder, "parquet")
+    publish_tables(dict(rep.tables), folder, "csv")
+    tables = open_published(c.spark, folder)
+    text = lambda df: F.concat_ws("|", *[F.coalesce(F.col(f"`{x}`"), F.lit("")) for x in df.columns])
+    parts = [tables[name].select(F.lit(name).alias("name"), text(tables[name]).alias("row")) for name in rep.tables]
+    return functools.reduce(DataFrame.union, parts)
+
+
+def _typed(c: _Ctx) -> DataFrame:
+    """Table 3a as published text, with its counts as numbers again."""
+    folder = scratch_folder(c.spark, "published")
+    publish_tables({"table_3a": c.report(materialise=True).tables["table_3a"]}, folder, "csv")
+    back = open_published(c.spark, folder)["table_3a"]
+    return read_typed(back, counts=back.columns[2:])
+
+
+def _by_date(c: _Ctx) -> DataFrame:
+    """One SQL text over the role tables, run for several dates."""
+    register_inputs(c.i)
+    register_functions(c.spark)
+    return functools.reduce(DataFrame.union, [run_sql(c.spark, RECORDS_BY_ORG, day) for day in DEMO_DAYS])
+
+
 def _quality(c: _Ctx) -> DataFrame:
     return quality_report(c.org_map(), c.cells_p(), c.cells_s(), c.cov_p(), c.cov_s(), population(c.regs()))
 
@@ -224,6 +256,11 @@ _BUILDERS: dict[str, Callable[[_Ctx], DataFrame]] = {
     "published_order": lambda c: published_order(c.report().tables["table_1"]),
     "publication_notes": _notes,
     "publish_roundtrip": _roundtrip,
+    "publication_tables": _publication,
+    "typed_readback": _typed,
+    "sql_by_date": _by_date,
+    "attribute_joined_key": lambda c: attribute(c.i["asset"], c.regs(), parity=True, joined_key=True),
+    "table_2_joined_key": lambda c: c.report(parity=True, joined_key=True).tables["table_2"],
 }
 
 

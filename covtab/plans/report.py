@@ -4,16 +4,20 @@ Physical shape (see README "Plan"):
 
 1. ``reduce_facts``: the only pass over the facts. Hash aggregate on
    (entity, facility, mapped category, direct category), combined map-side.
-2. ``by_entity``: the reduced rows are laid out by entity once and written to
-   the shared checkpoint folder. The (entity, facility) pairs, the resolution
-   and the join on entity all read that layout and shuffle nothing on its side.
+2. The reduced rows, and the distinct values of the asset's entities, are
+   written as tables bucketed by entity. The (entity, facility) pairs, both
+   resolutions and the joins on entity read them and shuffle on neither side.
 3. ``registration_cube``: registrations joined on entity with the resolved
    primary category and the secondary asset's per-entity category (both one
    row per entity), counted per (org, primary, secondary category), and
-   written like the reduced rows.
+   written.
 4. ``cube_summary``: one aggregation of the cube has everything the tables say
    of an org; tables are projections of it with a total row.
 
+The jobs that write the reduced rows and the cube also count what the checks
+need of them (``Report.metrics``): the newest period, and rows without an
+entity, without an organisation, or added by facilities with several.
+
 With ``parity=True`` the tables follow the original's joins, and duplicate and
 null-category asset rows count, as weights (``attributed_cells``).
 """
@@ -21,12 +25,20 @@ null-category asset rows count, as weights (``attributed_cells``).
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from covtab.operators.attribute import attribute, attributed_cells, entity_category, registrations_reduced
+from covtab.functions.predicates import day_literal
+from covtab.operators.attribute import (
+    asset_values,
+    attribute,
+    attributed_cells,
+    register_pairs,
+    registrations_reduced,
+    settled_values,
+)
 from covtab.operators.dims import org_map, org_reference
 from covtab.operators.disclose import (
     coverage_table,
@@ -49,10 +61,10 @@ from covtab.operators.measure import (
     summary_coverage,
     summary_crosstab,
 )
-from covtab.operators.resolve import RESOLVED_COLUMNS, by_entity, reduce_facts, resolve_reduced
+from covtab.operators.resolve import RESOLVED_COLUMNS, reduce_facts, resolve_reduced
 from covtab.params import JobParams
 from covtab.plans.quality import freshness, quality_report
-from covtab.session import materialize, materialize_layout
+from covtab.session import Scratch
 
 
 class Lazy(Mapping):
@@ -80,11 +92,30 @@ class Lazy(Mapping):
 
 @dataclass
 class Report:
-    """Published text tables, their numeric twins, and the named stages."""
+    """Published text tables, their numeric twins, the named stages, and the
+    run that holds the stages that were written (``None`` without any)."""
 
     tables: Mapping
     numeric: Mapping
     stages: Mapping
+    scratch: Scratch | None = None
+    observed: dict = field(default_factory=dict)
+
+    def metrics(self) -> dict[str, int | str | None]:
+        """What the writing jobs counted so far: ``reduced_rows``,
+        ``rows_without_entity``, ``latest_period``; and with the cube
+        ``registrations``, ``fanned_out`` (those beyond one for an entity and
+        facility), ``without_org`` and ``out_of_domain_primary`` and
+        ``_secondary`` (registrations counted outside the domain)."""
+        found = {}
+        for observation in self.observed.values():
+            found |= observation.get
+        return found
+
+    def close(self) -> None:
+        """Deletes the written stages; the report's frames cannot be used after."""
+        if self.scratch is not None:
+            self.scratch.close()
 
 
 def resolved_living(per_entity: DataFrame) -> DataFrame:
@@ -92,51 +123,90 @@ def resolved_living(per_entity: DataFrame) -> DataFrame:
     return per_entity.where(F.col("alive") & F.col("category").isNotNull()).select(*RESOLVED_COLUMNS)
 
 
-def build_report(inputs: dict, params: JobParams, materialise: bool = True) -> Report:
+def build_report(inputs: dict, params: JobParams, materialise: bool = True, scratch: Scratch | None = None) -> Report:
     """Build every table of the report from the five role tables.
 
     ``inputs``: ``facts``, ``concept_map``, ``facilities``, ``orgs``,
     ``asset`` (see :mod:`covtab.sources`). Stages and tables are built on
-    first access. With ``materialise=True`` the reused stages (reduced facts
-    and cube, or cells and population in parity) are computed once when first
-    needed; with ``materialise=False`` nothing runs until an action on a
-    returned DataFrame.
+    first access. With ``materialise=True`` the reused stages (reduced facts,
+    asset values and cube, or cells and population in parity) are computed once
+    when first needed and written to ``scratch``, a run of the report's own if
+    none is given (then :meth:`Report.close` ends it); with
+    ``materialise=False`` nothing runs until an action on a returned DataFrame.
     """
-    keep = materialize if materialise else (lambda df: df)
-    lay_out = (lambda df: materialize_layout(by_entity(df))) if materialise else (lambda df: df)
-    p, domain = params.parity, params.domain
+    if materialise and scratch is None:
+        scratch = Scratch(inputs["facts"].sparkSession)
+    scratch = scratch if materialise else None
+    p, joined, domain = params.parity, params.joined_key, params.domain
+    observed: dict[str, Observation] = {}
     st: Lazy
     num: Lazy
 
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return scratch.table(df, name) if scratch else df
+
+    def lay_out(name: str, df: DataFrame) -> DataFrame:
+        return scratch.bucketed(df, name) if scratch else df
+
+    def watch(name: str, df: DataFrame, *counts) -> DataFrame:
+        """``df`` that counts while it is written."""
+        if not scratch:
+            return df
+        observed[name] = Observation()
+        return df.observe(observed[name], *counts)
+
+    def reduced() -> DataFrame:
+        rows = reduce_facts(inputs["facts"], inputs["concept_map"])
+        return lay_out("reduced", watch("reduced", rows, F.count("*").alias("reduced_rows"),
+                                        F.count_if(F.col("entity_id").isNull()).alias("rows_without_entity"),
+                                        F.max("direct_on").alias("latest_period")))
+
+    def how_fresh() -> DataFrame:
+        if not scratch:
+            return freshness(st["reduced"], params.asof, period="direct_on")
+        st["reduced"]  # its job has seen the newest period
+        latest, day = F.lit(observed["reduced"].get["latest_period"]).cast("date"), day_literal(params.asof)
+        return inputs["facts"].sparkSession.range(1).select(
+            latest.alias("latest_period"), day.alias("asof"), F.coalesce(latest == day, F.lit(False)).alias("ok"))
+
+    def cube() -> DataFrame:
+        pairs = st["reduced"].where("alive").select("entity_id", "facility_code").distinct()
+        regs = watch("registrations", register_pairs(pairs, st["org_map"], nth="nth"), F.count("*").alias("registrations"),
+                     F.count_if(F.col("org_code").isNull()).alias("without_org"), F.count_if(F.col("nth") > 1).alias("fanned_out"))
+        counted = registration_cube(regs, resolved().select("entity_id", "category"),
+                                    settled_values(st["asset_values"]).select("entity_id", "category"))
+        outside = lambda c: F.sum(F.when(F.col(c).isNotNull() & ~F.col(c).isin(*domain), F.col("n")).otherwise(0))
+        return keep("cube", watch("cube", counted, outside("p_cat").alias("out_of_domain_primary"),
+                                  outside("s_cat").alias("out_of_domain_secondary")))
+
     def resolved():
         return resolved_living(st["per_entity"])
 
     stage_builders = {
         "org_map": lambda: org_map(inputs["facilities"], inputs["orgs"], params.asof),
-        "reduced": lambda: lay_out(reduce_facts(inputs["facts"], inputs["concept_map"])),
+        "reduced": reduced,
         "per_entity": lambda: resolve_reduced(st["reduced"]),
         "registrations": lambda: registrations_reduced(st["reduced"], st["org_map"]),
-        "freshness": lambda: freshness(st["reduced"], params.asof, period="direct_on"),
+        "freshness": how_fresh,
         "quality": lambda: quality_report(st["org_map"], st["cells_primary"], st["cells_secondary"], st["coverage_primary"],
                                           st["coverage_secondary"], st["population"], domain),
     }
     if p:
         stage_builders |= {
-            "registrations": lambda: keep(registrations_reduced(st["reduced"], st["org_map"])),
-            "attributed_primary": lambda: attribute(resolved(), st["registrations"], p),
-            "attributed_secondary": lambda: attribute(inputs["asset"], st["registrations"], p),
-            "cells_primary": lambda: keep(attributed_cells(resolved(), st["registrations"])),
-            "cells_secondary": lambda: keep(attributed_cells(inputs["asset"], st["registrations"])),
-            "population": lambda: keep(population(st["registrations"])),
+            "registrations": lambda: lay_out("registrations", registrations_reduced(st["reduced"], st["org_map"])),
+            "attributed_primary": lambda: attribute(resolved(), st["registrations"], p, joined),
+            "attributed_secondary": lambda: attribute(inputs["asset"], st["registrations"], p, joined),
+            "cells_primary": lambda: keep("cells_primary", attributed_cells(resolved(), st["registrations"], joined)),
+            "cells_secondary": lambda: keep("cells_secondary", attributed_cells(inputs["asset"], st["registrations"], joined)),
+            "population": lambda: keep("population", population(st["registrations"])),
             "coverage_primary": lambda: coverage(st["population"], known_by_org(st["cells_primary"]), p),
             "coverage_secondary": lambda: coverage(st["population"], known_by_org(st["cells_secondary"]), p),
             "crosstab": lambda: crosstab(st["cells_secondary"], st["coverage_secondary"], domain, p),
         }
     else:
         stage_builders |= {
-            "cube": lambda: keep(registration_cube(
-                st["registrations"], resolved().select("entity_id", "category"),
-                entity_category(inputs["asset"]).select("entity_id", "category"))),
+            "asset_values": lambda: lay_out("asset", asset_values(inputs["asset"])),
+            "cube": cube,
             "summary": lambda: cube_summary(st["cube"], domain),
             "population": lambda: cube_population(st["cube"]),
             "cells_primary": lambda: cube_cells(st["cube"], "p"),
@@ -159,4 +229,4 @@ def build_report(inputs: dict, params: JobParams, materialise: bool = True) -> R
         "table_3b": lambda: publish_rates(num["table_3b"], domain),
         "org_reference": lambda: org_reference(st["org_map"]),
     })
-    return Report(tables=tables, numeric=num, stages=st)
+    return Report(tables=tables, numeric=num, stages=st, scratch=scratch, observed=observed)

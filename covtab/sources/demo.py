@@ -39,6 +39,7 @@ from covtab.sources.tables import conform, SCHEMAS
 
 # Fixed values of the demo mapping.
 DEMO_ASOF = _dt.date(2001, 8, 1)
+DEMO_DAYS = (_dt.date(1990, 1, 4), _dt.date(1999, 12, 31), DEMO_ASOF)
 CONCEPT_TO_CATEGORY = {
     "1-URGENT/A": "A", "1-URGENT/N": "B", "1-URGENT/R": "C", "2-HIGH/A": "D", "2-HIGH/N": "E", "2-HIGH/R": "F",
     "3-MEDIUM/A": "G", "3-MEDIUM/N": "H", "3-MEDIUM/R": "J", "4-NOT SPECIFIED/A": "Z", "4-NOT SPECIFIED/N": "99",
@@ -49,6 +50,7 @@ SEGMENT_TO_ASSET = {"AUTOMOBILE": "A", "BUILDING": "B", "FURNITURE": "C", "HOUSE
 ASSET_SOURCE = "combined_asset"
 GUEST_PRIORITY, GUEST_STATUS = "4-NOT SPECIFIED", "P"
 REGIONS = 5
+RETURN_FLAGS = ("A", "N", "R")
 
 
 def _case(col, mapping: dict) -> F.Column:
@@ -95,7 +97,10 @@ def demo_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def demo_concept_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = demo_facts(spark, sf_dir).select("concept_code").distinct()
+    # Every concept that a fact can have, from the orders alone: a fact's order may have no line.
+    priorities = _read(spark, sf_dir, "orders").select("o_orderpriority").distinct()
+    marks = [F.concat_ws("/", "o_orderpriority", *([F.lit(m)] if m else [])) for m in (None, *RETURN_FLAGS)]
+    codes = priorities.select(F.explode(F.array(*marks, F.lit("RARE"))).alias("concept_code")).distinct()
     rows = codes.withColumn("category", _case(F.col("concept_code"), CONCEPT_TO_CATEGORY))
     return conform(rows.union(rows), SCHEMAS["concept_map"])
 

@@ -14,9 +14,11 @@ from covtab.sources.demo import (
     ASSET_SOURCE,
     CONCEPT_TO_CATEGORY,
     DEMO_ASOF,
+    DEMO_DAYS,
     GUEST_PRIORITY,
     GUEST_STATUS,
     REGIONS,
+    RETURN_FLAGS,
     SEGMENT_TO_ASSET,
     STATUS_TO_DIRECT,
 )
@@ -32,9 +34,9 @@ def _case(column: str, mapping: dict) -> str:
     return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
 
 
-def _open(table: str) -> str:
+def _open(table: str, day: str = DAY) -> str:
     """Both intervals of a dimension row hold the as-of day."""
-    return " AND ".join(f"{table}.{a} <= {DAY} AND coalesce({table}.{b} > {DAY}, true)"
+    return " AND ".join(f"{table}.{a} <= {day} AND coalesce({table}.{b} > {day}, true)"
                         for a, b in (("open_date", "close_date"), ("record_start", "record_end")))
 
 
@@ -56,7 +58,10 @@ facts AS (
            CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN o_orderdate::DATE END AS death_date
     FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
 ), concepts AS (
-    SELECT DISTINCT concept_code, {_case('concept_code', CONCEPT_TO_CATEGORY)} AS category FROM facts
+    SELECT concept_code, {_case('concept_code', CONCEPT_TO_CATEGORY)} AS category FROM (
+        SELECT concat_ws('/', o_orderpriority, flag) AS concept_code
+        FROM (SELECT DISTINCT o_orderpriority FROM orders), (VALUES (NULL), {', '.join(f"('{m}')" for m in RETURN_FLAGS)}) flags (flag)
+        UNION ALL SELECT 'RARE')
 ), facilities AS (
     SELECT s_suppkey::VARCHAR AS facility_code, 'N' || s_nationkey AS org_code, ({_SINCE} + (s_suppkey % 7)::INT)::DATE AS open_date,
            CASE WHEN s_suppkey % 10 = 0 THEN DATE '2000-01-01' END AS close_date, open_date AS record_start, close_date AS record_end
@@ -282,18 +287,21 @@ ORACLE["publication_notes"] = _notes()
 _DOMAIN_COLUMNS = [*CATEGORY_DOMAIN, "unknown"]
 
 
-def _name_join(counts: str) -> str:
-    """Parity stages over ``counts`` (an asset relation)."""
+def _name_join(counts: str, joined_key: bool = False) -> str:
+    """Parity stages over ``counts`` (an asset relation); the conflict test is
+    by entity, or by the key of a registration written together."""
+    held = (f"SELECT r.*, a.category, r.entity_id || facility_code || org_code AS place FROM registered r JOIN {counts} a USING (entity_id) "
+            "WHERE facility_code IS NOT NULL AND org_code IS NOT NULL")
+    key = "place" if joined_key else "entity_id"
     cells = ", ".join(f"sum(n) FILTER (category = '{c}')::BIGINT AS \"{c}\"" for c in CATEGORY_DOMAIN)
     rounded = lambda ms: ", ".join(f'{_rounded(chr(34) + m + chr(34))} AS "{m}"' for m in ms)
     labels = "coalesce(org_name, 'TOTAL') AS org_name, coalesce(org_code, 'ZZZTOTAL') AS org_code"
     rates = ", ".join(f'{_rate(f"c.{chr(34)}{m}{chr(34)}", "t.alive")} AS "{m}"' for m in _DOMAIN_COLUMNS)
     return f""",
-raw_cells AS (
+raw_held AS ({held}
+), raw_cells AS (
     SELECT org_name, org_code, category, count(*) AS n
-    FROM registered JOIN {counts} a USING (entity_id)
-    WHERE facility_code IS NOT NULL AND org_code IS NOT NULL
-      AND entity_id IN (SELECT entity_id FROM {counts} GROUP BY entity_id HAVING count(DISTINCT category) = 1)
+    FROM raw_held WHERE {key} IN (SELECT {key} FROM raw_held GROUP BY {key} HAVING count(DISTINCT category) = 1)
     GROUP BY ALL
 ), raw_known AS (
     SELECT org_name, org_code, sum(n)::BIGINT AS known FROM raw_cells GROUP BY ALL
@@ -324,3 +332,40 @@ ORACLE["quality_negative_unknown"] = (
     "FROM named WHERE unknown < 0")
 ORACLE["suppress_value"] = q(
     "SELECT org_name, org_code, " + ", ".join(f"{_shown(_rounded(m))} AS {m}" for m in ("known", "alive", "unknown")) + " FROM cover_s")
+
+# --- the original's key, SQL by date, published tables read back ------------------
+
+ORACLE["table_2_joined_key"] = f"{_STAGES}{_name_join('asset', joined_key=True)} SELECT {_COVER_TEXT} FROM named_round"
+ORACLE["attribute_joined_key"] = q(
+    "SELECT entity_id, facility_code, org_code, org_name, category, attributed_on, "
+    f"'{ASSET_SOURCE}' AS source FROM registered JOIN asset USING (entity_id) WHERE facility_code IS NOT NULL AND org_code IS NOT NULL "
+    "WINDOW same_place AS (PARTITION BY entity_id || facility_code || org_code) "
+    "QUALIFY max(category) OVER same_place = min(category) OVER same_place")
+
+
+def _records_by_org(day: str) -> str:
+    return (
+        f"SELECT {day} AS as_of, o.org_code, o.org_name, count(*) AS n, count(*) FILTER (x.direct_category {_KNOWN}) AS known "
+        f"FROM facilities f JOIN orgs o ON o.org_code = f.org_code JOIN facts x ON x.facility_code = f.facility_code "
+        f"WHERE {_open('f', day)} AND {_open('o', day)} GROUP BY ALL")
+
+
+ORACLE["sql_by_date"] = q(
+    f"SELECT as_of, org_code, org_name, {_shown(_rounded('n'))} AS records, {_shown(_rounded('known'))} AS known, "
+    f"{_rate(_rounded('known'), _rounded('n'))} AS share FROM ("
+    + " UNION ALL ".join(_records_by_org(f"DATE '{d.isoformat()}'") for d in DEMO_DAYS) + ")")
+ORACLE["typed_readback"] = q("FROM cross_round")
+
+
+def _row_text(columns) -> str:
+    return " || '|' || ".join(f"coalesce(CAST(\"{c}\" AS VARCHAR), '')" for c in columns)
+
+
+_COVER_COLUMNS = ["org_name", "org_code", "known", "alive", "unknown", "percentage"]
+ORACLE["publication_tables"] = q(" UNION ALL ".join(
+    f"SELECT '{name}' AS name, {_row_text(columns)} AS row FROM ({select})" for name, columns, select in (
+        ("table_1", _COVER_COLUMNS, f"SELECT {_COVER_TEXT} FROM round_p"),
+        ("table_2", _COVER_COLUMNS, f"SELECT {_COVER_TEXT} FROM round_s"),
+        ("table_3a", ["org_name", "org_code", *_CROSS], f"SELECT {_cross_text(_CROSS)} FROM cross_round"),
+        ("table_3b", ["org_name", "org_code", *_CROSS], f"SELECT {_cross_text(_CROSS)} FROM cross_rate"),
+        ("org_reference", ["org_code", *ORG_ATTRIBUTES], f"SELECT DISTINCT org_code, {_ATTRS} FROM places"))))
