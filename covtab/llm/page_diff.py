@@ -14,7 +14,7 @@ one page to the comparison, at the smallest of their paths, and a neighbour
 that shares ``COPY_SHARE`` of the text of both is passed over for the one on
 the other side.
 
-Spark compares hashes of lines and never moves a text but for pages that lose
+Spark compares hashes of lines and moves no text but of pages that may lose
 lines. Hosts, however large, are cut into ranges of paths, and the pages at the
 ends of ranges find their neighbours in a table of two rows a range. Equal pages
 are combined in their tasks first and get their answer by way of these tasks.
@@ -109,6 +109,8 @@ def _nearness(a: str, b: str) -> int:
 
 def _lost(page: dict, neighbours: list[dict | None]) -> list[int]:
     """Numbers of the lines of a page that it shares with its nearest neighbour and that are not sure."""
+    if all(page["sure"]):
+        return []
     near = [n for n in neighbours if n is not None and n["host"] == page["host"]]
     near.sort(key=lambda n: -_nearness(page["path"], n["path"]))  # stable: the one before comes first
     own, sizes = (np.array(page[c], np.int64) for c in ("hashes", "sizes"))
@@ -202,5 +204,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     answers = cut_lineage(_with_neighbours(classes).mapInArrow(compare, "host string, digest string, lost array<long>"))
     of_node = at_node.select("node", *key).join(answers, key)
     of_row = rows.drop("path").join(of_node, ["node", *key]).select("row", "lost")
-    return parsed.select("row", "page_id", "url", "lines").join(of_row, "row", "left").drop("row").mapInArrow(
-        put_together, f"page_id {id_type}, url string, text string, n_chars long, n_shared long")
+    # Pages whose lines are all sure lose none and are not moved.
+    unsure = F.exists("sure", lambda sure: ~sure)
+    moved = parsed.where(unsure).select("row", "page_id", "url", "lines").join(of_row, "row", "left").drop("row")
+    stays = parsed.where(~unsure).select("page_id", "url", "lines", F.lit(None).cast("array<long>").alias("lost"))
+    return moved.union(stays).mapInArrow(put_together, f"page_id {id_type}, url string, text string, n_chars long, n_shared long")
