@@ -16,7 +16,9 @@ share of real secrets among what is left alone stays under ``FALSE_RATE``, and
 short candidates, for which the tests say little, do not blur long ones.
 
 Everything is DataFrame expressions: one pass counts p-values (a number for
-each length class and hundredth of a decimal log), the second scans.
+each length class and hundredth of a decimal log), the second scans. Work grows
+with the length of a text, whatever the number of its matches: places are
+running sums, and overlaps are found in one pass over sorted spans.
 
 Defined results: positions are code points from 0, ends exclusive; a null text
 counts as empty and has no spans; equal rows get equal spans; an empty table
@@ -62,6 +64,37 @@ def _once(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _running(values: Column, op) -> Column:
+    """``op`` of each value and all before it. Blocks of about the root of their
+    number are run through one by one and then put after each other, so the
+    copies that an array grows by cost no square of its length."""
+    nothing = F.expr("cast(array() as array<int>)")
+
+    def run(block: Column) -> Column:
+        def step(state: Column, x: Column) -> Column:
+            here = F.when(state["last"].isNull(), x).otherwise(op(state["last"], x))
+            return _once(here, lambda v: F.struct(v.alias("last"), F.concat(state["all"], F.array(v)).alias("all")))
+
+        return F.aggregate(block, F.struct(F.lit(None).cast("int").alias("last"), nothing.alias("all")), step, lambda s: s["all"])
+
+    def in_blocks(v: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(v))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(v) / width).cast("int") - 1), lambda b: run(F.slice(v, b * width + 1, width)))
+
+        def put(own: Column) -> Column:
+            before = run(F.transform(own, lambda block: F.element_at(block, -1)))
+            return _once(before, lambda tops: F.flatten(F.transform(own, lambda block, b: F.when(b == 0, block).otherwise(
+                F.transform(block, lambda x: op(F.get(tops, b - 1), x))))))
+
+        return _once(blocks, put)
+
+    return _once(values, lambda v: F.when(F.size(v) == 0, nothing).when(F.size(v) <= 64, run(v)).otherwise(in_blocks(v)))
+
+
+def _largest(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """(start, end, text) of the leftmost non-overlapping matches: the text is
     cut at marks around them, and the lengths of the parts give the places.
@@ -69,15 +102,13 @@ def _matches(text: Column, pattern: str) -> Column:
     parts = F.split(F.regexp_replace(text, pattern, f"{_MARK}$0{_MARK}"), _MARK)
     nothing = F.expr("cast(array() as array<struct<start:int,end:int,text:string>>)")
 
-    def step(state: Column, part: Column) -> Column:
-        end = state["at"] + F.length(part)
-        own = F.array(F.struct(state["at"].alias("start"), end.alias("end"), part.alias("text")))
-        return F.struct(end.alias("at"), (~state["inside"]).alias("inside"),
-                        F.when(state["inside"], F.concat(state["found"], own)).otherwise(state["found"]).alias("found"))
+    def placed(p: Column) -> Column:
+        # Every other part is a match, from the second on.
+        ends = _running(F.transform(p, F.length), lambda a, b: a + b)
+        return _once(ends, lambda e: F.transform(F.sequence(F.lit(1), F.size(p) - 2, F.lit(2)), lambda i: F.struct(
+            F.get(e, i - 1).alias("start"), F.get(e, i).alias("end"), F.get(p, i).alias("text"))))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), nothing.alias("found"))
-    found = _once(parts, lambda p: F.when(F.size(p) > 1, F.aggregate(p, start, step, lambda s: s["found"])).otherwise(nothing))
-    return found
+    return _once(parts, lambda p: F.when(F.size(p) > 1, placed(p)).otherwise(nothing))
 
 
 def _bare(token: Column) -> Column:
@@ -157,8 +188,8 @@ def _battery(token: Column) -> Column:
         return _depth(squares[0] + squares[1] + squares[2])
 
     def of_alphabet(alphabet: Column) -> Column:
-        place = lambda i: F.instr(alphabet, F.substring(token, i, F.lit(1))) - 0.5
-        u = F.transform(F.sequence(F.lit(1), F.length(token)), lambda i: place(i) / F.length(alphabet))
+        letters = F.filter(F.split(token, ""), lambda x: x != "")
+        u = F.transform(letters, lambda x: (F.instr(alphabet, x) - 0.5) / F.length(alphabet))
         return F.when(alphabet.isNotNull(), _once(u, of_values))
 
     return _once(_alphabet(token), of_alphabet)
@@ -176,8 +207,17 @@ def _candidates(text: Column) -> Column:
             m["start"].alias("start"), m["end"].alias("end"), _length_class(F.length(token)).alias("size_class"),
             _battery(token).alias("depth")))
 
-    found = F.array_distinct(F.concat(*[_matches(text, pattern) for pattern in CANDIDATES]))
-    return F.filter(F.transform(found, judged), lambda c: c["depth"].isNotNull())
+    # Several patterns may find the same run; sorted, equal ones are neighbours, the first pattern's first.
+    def numbered(number: int, pattern: str) -> Column:
+        return F.transform(_matches(text, pattern), lambda m: F.struct(
+            m["start"].alias("start"), m["end"].alias("end"), F.lit(number).alias("pattern"), m["text"].alias("text")))
+
+    placed = F.sort_array(F.concat(*[numbered(number, pattern) for number, pattern in enumerate(CANDIDATES)]))
+    first = _once(placed, lambda all_: F.filter(all_, lambda m, i: (i == 0) | (F.get(all_, i - 1)["start"] != m["start"])
+                                                | (F.get(all_, i - 1)["end"] != m["end"])))
+    distinct = F.sort_array(F.transform(first, lambda m: F.struct(
+        m["pattern"].alias("pattern"), m["start"].alias("start"), m["end"].alias("end"), m["text"].alias("text"))))
+    return F.filter(F.transform(distinct, judged), lambda c: c["depth"].isNotNull())
 
 
 def _unmarked(text: str) -> Column:
@@ -188,7 +228,8 @@ def _unmarked(text: str) -> Column:
 def rejection_steps(docs: DataFrame, text: str = "text", false_rate: float = FALSE_RATE) -> dict[int, int]:
     """For each length class, the p-value step from which randomness is
     rejected. At most 31 classes, each counted in at most 2,001 steps."""
-    found = docs.select(_unmarked(text).alias("body")).select(F.explode(_candidates(F.col("body"))).alias("c"))
+    bodies = docs.select(_unmarked(text).alias("body"))
+    found = computed(bodies, {"_found": _candidates(F.col("body"))}).select(F.explode("_found").alias("c"))
     counts = found.groupBy("c.size_class", "c.depth").agg(F.count("*").alias("n"))
     own = Window.partitionBy("size_class")
     ranked = counts.withColumns({"as_deep": F.sum("n").over(own.orderBy(F.col("depth").desc())), "all": F.sum("n").over(own)})
@@ -211,13 +252,50 @@ def _spans(docs: DataFrame, text: str, steps: dict[int, int]) -> DataFrame:
         _base(1, _matches(body, ACCESS), lambda m: F.length(m["text"]) >= LEAST_ACCESS),
         _base(2, _matches(body, HEX)))
     random = F.filter(_candidates(body), lambda c: c["depth"] < F.coalesce(F.try_element_at(cut, c["size_class"]), F.lit(10**6)))
-    apart = F.filter(F.col("_random"), lambda c: ~F.exists(
-        F.col("_base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    widest = F.filter(F.col("_apart"), lambda c: ~F.exists(F.col("_apart"), lambda o: (
-        o["start"] <= c["start"]) & (c["end"] <= o["end"]) & (o["end"] - o["start"] > c["end"] - c["start"])))
     found = computed(docs.withColumn("_body", _unmarked(text)), {"_base": F.sort_array(base), "_random": random}).drop("_body")
-    found = computed(found, {"_apart": apart}).drop("_random")
-    return computed(found, {"_all": F.sort_array(F.concat(F.col("_base"), _base(3, widest)))}).drop("_apart")
+    found = computed(found, {"_widest": _widest(_apart(F.col("_base"), F.col("_random")))}).drop("_random")
+    return computed(found, {"_all": F.sort_array(F.concat(F.col("_base"), _base(3, F.col("_widest"))))}).drop("_widest")
+
+
+_NO_SPAN = "cast(array() as array<struct<start:int,end:int>>)"
+
+
+def _span(start: Column, end: Column) -> Column:
+    return F.struct(start.alias("start"), end.alias("end"))
+
+
+def _apart(base: Column, random: Column) -> Column:
+    """The random spans that overlap no base span: in one order of all by their
+    starts, no base span before ends behind the start of one, and none after
+    starts before its end."""
+    far = F.lit(2**31 - 1)
+    both = F.sort_array(F.concat(
+        F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("random"), b["end"].alias("end"))),
+        F.transform(random, lambda c: F.struct(c["start"].alias("start"), F.lit(1).alias("random"), c["end"].alias("end")))))
+
+    def kept(all_: Column) -> Column:
+        ends = _running(F.transform(all_, lambda m: F.when(m["random"] == 0, m["end"]).otherwise(F.lit(0))), _largest)
+        nexts = F.reverse(_running(F.reverse(F.transform(all_, lambda m: F.when(m["random"] == 0, m["start"]).otherwise(far))),
+                                   lambda a, b: F.least(a, b)))
+        return _once(ends, lambda e: _once(nexts, lambda n: F.transform(
+            F.filter(all_, lambda m, i: (m["random"] == 1) & (F.get(e, i) <= m["start"]) & (F.get(n, i) >= m["end"])),
+            lambda m: _span(m["start"], m["end"]))))
+
+    return F.when(F.size(random) == 0, F.expr(_NO_SPAN)).when(
+        F.size(base) == 0, F.transform(random, lambda c: _span(c["start"], c["end"]))).otherwise(_once(both, kept))
+
+
+def _widest(spans: Column) -> Column:
+    """The spans that lie within no other (different) one: by start, the longest
+    first, none before ends as far behind."""
+    ordered = F.transform(F.sort_array(F.transform(spans, lambda c: F.struct(c["start"].alias("start"), (-c["end"]).alias("less")))),
+                          lambda c: _span(c["start"], -c["less"]))
+
+    def kept(all_: Column) -> Column:
+        ends = _running(F.transform(all_, lambda c: c["end"]), _largest)
+        return _once(ends, lambda e: F.filter(all_, lambda c, i: (i == 0) | (F.get(e, i - 1) < c["end"])))
+
+    return F.when(F.size(spans) < 2, spans).otherwise(_once(ordered, kept))
 
 
 def _shown(spans: Column) -> Column:
@@ -236,6 +314,37 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", false_rate
                         _shown(F.col("_base")).alias("base_spans"), _shown(F.col("_all")).alias("spans"))
 
 
+def _covered(text: Column, spans: Column, cover: str) -> Column:
+    """``text`` with each span, or run of overlapping spans, replaced. Finding a
+    place in a text takes a walk to it, so the text is cut into blocks first,
+    and a gap between spans is joined from its blocks."""
+
+    def gaps(ends: Column) -> Column:
+        """(from, length) of what stays before each run, and behind the last."""
+        runs = F.filter(F.sequence(F.lit(0), F.size(spans) - 1), lambda i: (i == 0) | (F.get(spans, i)["start"] >= F.get(ends, i - 1)))
+        before = F.transform(runs, lambda i: _once(F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - 1)), lambda at: F.struct(
+            at.alias("at"), (F.get(spans, i)["start"] - at).alias("size"))))
+        last = F.element_at(ends, -1)
+        return F.concat(before, F.array(F.struct(last.alias("at"), (F.length(text) - last).alias("size"))))
+
+    def joined(cuts: Column) -> Column:
+        wide = F.greatest(F.lit(1024), F.ceil(F.length(text) / F.sqrt(F.size(cuts))).cast("int"))
+        return _once(wide, lambda width: _once(blocks_of(width), lambda blocks: F.array_join(
+            F.transform(cuts, lambda cut: piece(width, blocks, cut)), cover)))
+
+    def blocks_of(width: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / width).cast("int")), lambda b: F.substring(text, b * width + 1, width))
+
+    def piece(width: Column, blocks: Column, cut: Column) -> Column:
+        first = F.floor(cut["at"] / width).cast("int")
+        number = F.floor((cut["at"] + cut["size"] - 1) / width).cast("int") - first + 1
+        near = F.array_join(F.slice(blocks, first + 1, F.greatest(number, F.lit(0))), "")
+        return F.when(cut["size"] > 0, F.substring(near, cut["at"] - first * width + 1, cut["size"])).otherwise(F.lit(""))
+
+    ends = _running(F.transform(spans, lambda s: s["end"]), _largest)
+    return _once(_once(ends, gaps), joined)
+
+
 def redact(docs: DataFrame, text: str = "text", cover: str = "[SECRET]", false_rate: float = FALSE_RATE) -> DataFrame:
     """``docs`` with each found span, or run of overlapping spans, replaced by
     ``cover``; a column ``n_chars`` is set to the new length. A null text stays null."""
@@ -243,15 +352,7 @@ def redact(docs: DataFrame, text: str = "text", cover: str = "[SECRET]", false_r
     found = _spans(whole, "_text", rejection_steps(docs, text, false_rate))
     original = F.col("_text")
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(original, state["at"] + 1, span["start"] - state["at"])
-        fresh = span["start"] >= state["at"]
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"),
-                        F.when(fresh, F.concat(state["out"], gap, F.lit(cover))).otherwise(state["out"]).alias("out"))
-
-    rest = lambda s: F.concat(s["out"], F.substring(original, s["at"] + 1, F.length(original)))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.when(F.size("_all") > 0, F.aggregate("_all", start, step, rest)).otherwise(original)
+    clean = F.when(F.size("_all") > 0, _covered(original, F.col("_all"), cover)).otherwise(original)
     found = found.withColumn("_clean", clean)
     new = {text: F.col("_clean"), "n_chars": F.length("_clean")}
     kinds = dict(docs.dtypes)

@@ -1,6 +1,8 @@
+import itertools
 import math
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -153,3 +155,47 @@ def test_redaction(table):
     got = {r.doc_id: (r.text, r.n_chars) for r in out.select("doc_id", "text", "n_chars").collect()}
     assert got[1] == ("a [SECRET] b", 12) and got[2] == (None, None) and got[3] == ("clean", 5)
     assert got[4][0] == "é [SECRET] é [SECRET]!"
+
+
+def test_running_values(spark):
+    rng = random.Random(3)
+    rows = [[rng.randrange(-50, 50) for _ in range(n)] for n in (0, 1, 2, 63, 64, 65, 100, 1000, 3001)]
+    df = spark.createDataFrame([(r,) for r in rows], "v array<int>")
+    got = df.select("v", S._running(F.col("v"), lambda a, b: a + b).alias("sums"), S._running(F.col("v"), S._largest).alias("tops")).collect()
+    for r in got:
+        assert r.sums == list(itertools.accumulate(r.v)) and r.tops == list(itertools.accumulate(r.v, max))
+
+
+def test_overlaps_like_every_pair(spark):
+    rng = random.Random(6)
+    span = lambda: (lambda a: (a, a + rng.randrange(1, 9)))(rng.randrange(60))
+    rows = [([(a, rng.randrange(3), b) for a, b in sorted(span() for _ in range(rng.randrange(8)))], sorted({span() for _ in range(rng.randrange(90))}))
+            for _ in range(150)]
+    df = spark.createDataFrame(rows, "b array<struct<start:int,kind:int,end:int>>, r array<struct<start:int,end:int>>")
+    apart = S._apart(F.col("b"), F.col("r"))
+    got = df.select("b", "r", apart.alias("apart")).withColumn("widest", S._widest(F.col("apart"))).collect()
+    for row in got:
+        want = [c for c in row.r if not any(b.start < c.end and c.start < b.end for b in row.b)]
+        assert sorted(row.apart) == sorted(want)
+        assert sorted(row.widest) == sorted(c for c in want if not any(
+            o.start <= c.start and c.end <= o.end and o.end - o.start > c.end - c.start for o in want))
+
+
+def test_many_matches_in_one_text(table):
+    """Thousands of strings in one text: the work follows its length (100 seconds before for 8,000 of them)."""
+    rng = random.Random(8)
+    parts = [f"é{rng.getrandbits(128):032x}" + "\n" * rng.randrange(1, 4) for _ in range(8000)]
+    df = table([(1, "".join(parts)), (2, "none")])
+    started = time.monotonic()
+    got = {r.doc_id: r for r in S.scan(df).collect()}
+    assert time.monotonic() - started < 80
+    assert got[1].n_hex == 8000 and got[1].base_spans == shown(plain_base("".join(parts))) and got[2].spans == ""
+    clean = {r.doc_id: r.text for r in S.redact(df).collect()}
+    assert clean[1] == "".join("é[SECRET]" + p[33:] for p in parts)
+
+
+def test_a_long_token(table):
+    rng = random.Random(5)
+    token = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(200000))
+    found = table([(1, f"x {token} y")]).select(F.explode(S._candidates(F.col("text"))).alias("c")).where("c.end - c.start = 200000").collect()
+    assert abs(found[0].c.depth - plain_depth(token)) <= 2
