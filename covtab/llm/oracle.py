@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from covtab.llm import lm_scoring, quality_rules, substring_dedup, vector_codes
+from covtab.llm import lm_scoring, phrase_tries, quality_rules, substring_dedup, vector_codes
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -216,11 +216,56 @@ FROM codes JOIN kept USING (r), books
 """
 
 
+def _collocations() -> str:
+    least, top, percent = phrase_tries.LEAST, phrase_tries.TOP, phrase_tries.REPLACED_PERCENT
+    return f"""
+WITH pieces AS (
+    SELECT lang, row_number() OVER () AS piece, list_filter(string_split_regex(body, '[ \t]+'), lambda w: w <> '') AS words
+    FROM (SELECT coalesce(lang, 'und') AS lang,
+                 unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[.,;:!?\x0A-\x0D]')) AS body FROM documents)
+), places AS (
+    SELECT lang, piece, unnest(words) AS w1, generate_subscripts(words, 1) AS pos FROM pieces
+), ahead AS (
+    SELECT lang, w1, lead(w1) OVER follows AS w2, lead(w1, 2) OVER follows AS w3 FROM places WINDOW follows AS (PARTITION BY piece ORDER BY pos)
+), sizes AS (
+    SELECT lang, count(*) AS n FROM places GROUP BY lang
+), one AS (
+    SELECT lang, w1, count(*) AS f FROM ahead GROUP BY ALL
+), two AS (
+    SELECT lang, w1, w2, count(*) AS f FROM ahead WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= {least}
+), three AS (
+    SELECT lang, w1, w2, w3, count(*) AS f FROM ahead WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= {least}
+), longer AS (
+    SELECT lang, w1, w2, max(f) AS f FROM (SELECT lang, w1, w2, f FROM three UNION ALL SELECT lang, w2, w3, f FROM three) GROUP BY ALL
+), cuts AS (
+    SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, 1 AS k, t.f AS a, l.f AS l, r.f AS r
+    FROM two t JOIN one l ON l.lang = t.lang AND l.w1 = t.w1 JOIN one r ON r.lang = t.lang AND r.w1 = t.w2
+    LEFT JOIN longer o ON o.lang = t.lang AND o.w1 = t.w1 AND o.w2 = t.w2
+    WHERE o.f IS NULL OR 100 * o.f < {percent} * t.f
+    UNION ALL
+    SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 1, t.f, l.f, r.f
+    FROM three t JOIN one l ON l.lang = t.lang AND l.w1 = t.w1 JOIN two r ON r.lang = t.lang AND r.w1 = t.w2 AND r.w2 = t.w3
+    UNION ALL
+    SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 2, t.f, l.f, r.f
+    FROM three t JOIN two l ON l.lang = t.lang AND l.w1 = t.w1 AND l.w2 = t.w2 JOIN one r ON r.lang = t.lang AND r.w1 = t.w3
+), scored AS (
+    SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+), worst AS (
+    FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= {top}
+"""
+
+
 ORACLE = {
     "op1_lm_scoring": _lm_scoring(),
     "op2_substring_dedup": _SUBSTRINGS,
     "op4_exact_dedup": _EXACT_DEDUP,
     "op6_quotation_linking": _QUOTATIONS,
     "op9_quality_rules": _quality(),
+    "op11_phrase_tries": _collocations(),
     "op13_vector_codes": _vector_codes(),
 }

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covtab.llm import (
-    exact_dedup, lm_scoring, matrix_output, page_diff, pattern_packing, piece_bpe, quality_rules, quotation_links, secret_scan,
-    simhash, substring_dedup, vector_codes,
+    exact_dedup, lm_scoring, matrix_output, page_diff, pattern_packing, phrase_tries, piece_bpe, quality_rules, quotation_links,
+    secret_scan, simhash, substring_dedup, vector_codes,
 )
 from covtab.llm.common import read_table
 
@@ -88,6 +88,11 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern_packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language."""
+    return phrase_tries.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of each page."""
     return page_diff.extract(read_table(spark, sf_dir, "pages"))
@@ -111,6 +116,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_pattern_packing": op10_pattern_packing,
+    "op11_phrase_tries": op11_phrase_tries,
     "op12_page_diff": op12_page_diff,
     "op13_vector_codes": op13_vector_codes,
 }
