@@ -13,7 +13,9 @@ def _verdicts() -> str:
         scaled = f"{r.numerator} * 1000"
         bounds = [f"{scaled} < {r.low} * {r.denominator}"] * (r.low is not None)
         bounds += [f"{scaled} > {r.high} * {r.denominator}"] * (r.high is not None)
-        tests.append(f"({r.denominator} >= {r.least} AND ({' OR '.join(bounds)}))")
+        spoken = ", ".join(f"'{c}'" for c in r.languages)
+        applies = f" AND coalesce(lower(split_part(lang, '-', 1)) IN ({spoken}), false)" if spoken else ""
+        tests.append(f"({r.denominator} >= {r.least} AND ({' OR '.join(bounds)}){applies})")
     return " OR ".join(tests)
 
 
@@ -22,9 +24,9 @@ def _quality() -> str:
     spaces = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     return f"""
 WITH texts AS (
-    SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS body FROM documents
+    SELECT row_number() OVER () AS row_no, doc_id, lang, coalesce(text, '') AS body FROM documents
 ), parts AS (
-    SELECT row_no, doc_id, body,
+    SELECT row_no, doc_id, lang, body,
            list_filter(string_split_regex(body, '{SPACE_RUN}'), lambda w: w <> '') AS words,
            list_filter(string_split(body, chr(10)), lambda l: length(trim(l, {spaces})) > 0) AS lines,
            translate(body, {spaces}, '') AS bare
@@ -39,7 +41,7 @@ WITH texts AS (
 ), repeats AS (
     SELECT row_no, sum(adds)::BIGINT AS n_repeat_words FROM gaps GROUP BY row_no
 ), counts AS (
-    SELECT doc_id, 1::BIGINT AS one,
+    SELECT doc_id, lang, 1::BIGINT AS one,
            len(words)::BIGINT AS n_words,
            length(bare)::BIGINT AS word_chars,
            (length(bare) - length(translate(bare, '{quality_rules.SYMBOLS}', '')))::BIGINT AS n_symbols,

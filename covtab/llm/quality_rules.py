@@ -6,7 +6,8 @@ comparison is on whole numbers, so it is exact. No user function runs.
 
 Defined results: a null text counts as empty (no words); an empty text has
 all counts zero and fails the base rule (fewer than 10 words); a rule whose
-denominator is under ``least`` passes; rows are judged one by one, so repeated rows get
+denominator is under ``least`` passes, and so does a stop-word rule where the
+text's language has no list; a text may have any length; rows are judged one by one, so repeated rows get
 the same verdict and an empty table gives an empty result. Extra columns are
 ignored by :func:`judge` and kept by :func:`keep_good`.
 """
@@ -20,8 +21,9 @@ from pyspark.sql import functions as F
 
 from covtab.llm.common import computed, text_or_empty, without_spaces, words_of
 
-# The symbols that are counted, and common function words of the
-# four languages of the corpus.
+# The symbols that are counted, and common function words of four
+# languages, with their codes.
+LISTED = ("en", "fr", "de", "es")
 SYMBOLS = "#*$%&|<>"
 STOP_WORDS = (
     "a an and are as at be been but by for from had has have he her his if in is it its not of on or "
@@ -43,7 +45,8 @@ WINDOW = 5
 @dataclass(frozen=True)
 class Rule:
     """``low <= 1000 * numerator / denominator <= high``; a bound may be absent.
-    The rule applies from ``least`` of the denominator on."""
+    The rule applies from ``least`` of the denominator on, and if ``languages``
+    are given, to texts in these alone."""
 
     name: str
     numerator: str
@@ -51,15 +54,16 @@ class Rule:
     low: int | None = None
     high: int | None = None
     least: int = 1
+    languages: tuple[str, ...] = ()
 
 
 #: The threshold table. Names in it are columns of :func:`text_counts`.
 RULES = (
-    Rule("length", "n_words", "one", low=MIN_WORDS * 1000, high=10_000_000_000),
+    Rule("length", "n_words", "one", low=MIN_WORDS * 1000),
     Rule("word_length", "word_chars", "n_words", low=2_000, high=20_000),
     Rule("symbols", "n_symbols", "n_words", high=300),
     Rule("upper_words", "n_upper_words", "n_words", high=600),
-    Rule("stop_words", "n_stop_words", "n_words", low=20, least=30),
+    Rule("stop_words", "n_stop_words", "n_words", low=20, least=30, languages=LISTED),
     Rule("repeated_lines", "n_dup_lines", "n_lines", high=400),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", high=300),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", high=900),
@@ -126,11 +130,16 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     }).drop("_text", "_words", "_lines", "_bare")
 
 
-def rule_failed(rule: Rule) -> Column:
+def rule_failed(rule: Rule, lang: Column | None = None) -> Column:
     scaled, den = F.col(rule.numerator) * 1000, F.col(rule.denominator)
     low = scaled < rule.low * den if rule.low is not None else F.lit(False)
     high = scaled > rule.high * den if rule.high is not None else F.lit(False)
-    return (den >= rule.least) & (low | high)
+    failed = (den >= rule.least) & (low | high)
+    if rule.languages:
+        # 'en', 'EN' and 'en-GB' are one language; an unknown one is none of them.
+        code = F.lit(None) if lang is None else F.lower(F.substring_index(lang.cast("string"), "-", 1))
+        failed = failed & F.coalesce(code.isin(*rule.languages), F.lit(False))
+    return failed
 
 
 def base_failed() -> Column:
@@ -138,17 +147,23 @@ def base_failed() -> Column:
     return (n < MIN_WORDS) | (F.col("n_repeat_words") * 100 > n * MAX_REPEAT_PERCENT)
 
 
-def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, lang: str = "lang") -> DataFrame:
     """``docs`` with its counts, ``failed_rules`` (names, in table order),
-    ``base_failed`` and ``kept``; one row out for each row in."""
-    names = F.filter(F.array(*[F.when(rule_failed(r), F.lit(r.name)) for r in rules]), lambda x: x.isNotNull())
+    ``base_failed`` and ``kept``; one row out for each row in. Columns of these
+    names, and ``_text``, ``_words``, ``_lines`` and ``_bare``, are replaced or
+    lost; :func:`keep_good` keeps all. Without a column ``lang`` no language is
+    known."""
+    language = F.col(f"`{lang}`") if lang in docs.columns else None
+    names = F.filter(F.array(*[F.when(rule_failed(r, language), F.lit(r.name)) for r in rules]), lambda x: x.isNotNull())
     return (text_counts(docs, text)
             .withColumns({"failed_rules": names, "base_failed": base_failed()})
             .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)))
 
 
-def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns only."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    judged = judge(docs.select(whole.alias("_row"), F.col(f"`{text}`").alias("_judged")), "_judged", rules)
+    language = F.col(f"`{lang}`") if lang in docs.columns else F.lit(None)
+    judged = judge(docs.select(whole.alias("_row"), F.col(f"`{text}`").alias("_judged"), language.cast("string").alias("_lang")),
+                   "_judged", rules, "_lang")
     return judged.where("kept").select("_row.*")

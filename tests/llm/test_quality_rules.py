@@ -91,3 +91,19 @@ def test_labelled_documents(spark):
 def test_native_plan(table):
     plan = Q.judge(table([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_languages_without_a_list_and_any_length(spark):
+    from tests.llm.conftest import SCHEMA
+
+    russian = ("Старый дом стоял на холме и много лет был домом человека который когда-то ходил в море он говорил что они вернутся "
+               "весной однако никто из них больше никогда здесь не появился и соседи скоро забыли его имя навсегда")
+    odd = " ".join(f"zq{k}x" for k in range(40))
+    rows = [(1, russian, "ru"), (2, russian, None), (3, odd, "en"), (4, odd, "EN-gb"), (5, odd, "fi"), (6, odd, "")]
+    df = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in rows], SCHEMA)
+    got = {r.doc_id: (r.kept, r.failed_rules) for r in Q.judge(df).collect()}
+    assert all(got[k] == (True, []) for k in (1, 2, 5, 6)) and all(got[k] == (False, ["stop_words"]) for k in (3, 4))
+    assert {r.doc_id for r in Q.keep_good(df).collect()} == {1, 2, 5, 6}
+    assert {r.doc_id for r in Q.keep_good(df.drop("lang")).collect()} == {1, 2, 3, 4, 5, 6}
+    counts = spark.range(1).selectExpr("10000000000000L AS n_words", "1L AS one")
+    assert counts.select(Q.rule_failed(Q.RULES[0])).first()[0] is False
