@@ -148,15 +148,17 @@ WITH RECURSIVE lines AS (
     SELECT m.conv_id, m.turn, m.role, m.text, p.parent, coalesce(p.n, 0) AS n
     FROM conversations m LEFT JOIN parents p ON p.conv_id = m.conv_id AND p.turn = m.turn
 ), paths AS (
-    SELECT conv_id, turn, turn::VARCHAR AS path FROM messages WHERE parent IS NULL
+    SELECT DISTINCT conv_id, turn, [turn] AS path FROM messages WHERE parent IS NULL
     UNION ALL
-    SELECT m.conv_id, m.turn, p.path || '/' || m.turn FROM messages m JOIN paths p ON p.conv_id = m.conv_id AND p.turn = m.parent
+    SELECT DISTINCT m.conv_id, m.turn, list_append(p.path, m.turn) FROM messages m JOIN paths p ON p.conv_id = m.conv_id AND p.turn = m.parent
+), places AS (
+    SELECT conv_id, turn, path[1] AS root_turn, -row_number() OVER (PARTITION BY conv_id, path[1] ORDER BY path DESC) AS position FROM paths
 ), plain AS (
     SELECT *, regexp_replace(coalesce(text, ''), '^([ \t]*\n)+|(\n[ \t]*)+$', '', 'g') AS own FROM messages
 )
-SELECT conv_id, turn, role, parent::VARCHAR AS parent_turn, path, n AS n_quoted, n AS n_linked, sha256(own) AS text_sha256,
+SELECT conv_id, turn, role, parent::VARCHAR AS parent_turn, root_turn, position, n AS n_quoted, n AS n_linked, sha256(own) AS text_sha256,
        sha256('<|' || coalesce(role, 'user') || '|>' || chr(10) || own || chr(10) || '<|end|>' || chr(10)) AS chat_sha256
-FROM plain JOIN paths USING (conv_id, turn)
+FROM plain JOIN places USING (conv_id, turn)
 """
 
 

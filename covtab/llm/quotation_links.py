@@ -122,7 +122,11 @@ def link_replies(messages: DataFrame, paths: bool = True) -> DataFrame:
     whole = parents.join((_paths if paths else _positions)(parents), ["conv_id", "turn"])
     place = [F.coalesce("path", F.array_compact(F.array("turn"))).alias("path")] if paths else [
         F.coalesce("root_turn", "turn").alias("root_turn"), F.coalesce("position", F.lit(-1)).alias("position")]
-    return read.join(whole, ["conv_id", "turn"], "left").select(
+    # Messages that belong nowhere are set aside: they would all meet in one task.
+    own = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    nowhere = read.where(~own).select("*", *[F.lit(None).cast(whole.schema[c].dataType).alias(c) for c in whole.columns[2:]])
+    placed = read.where(own).join(whole, ["conv_id", "turn"], "left").unionByName(nowhere)
+    return placed.select(
         "conv_id", "turn", "role", F.col("parent").alias("parent_turn"),
         *place,
         F.coalesce("n_quoted", F.lit(0)).alias("n_quoted"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
