@@ -4,10 +4,14 @@ Documents become pieces of at most ``CAPACITY`` tokens. What is packed is the
 histogram of the piece lengths, which has ``CAPACITY`` entries whatever the
 input: patterns of two or three lengths that fill a sequence exactly are
 enumerated, their repeat counts are fitted to the histogram by non-negative
-least squares and rounded down, and the lengths that remain are packed best fit
-first, in whole groups of equal sequences. The plan so found is a table of
-ranges of ranks within a length; Spark numbers the pieces of each length, and
-every piece finds its place by its length and rank.
+least squares and rounded down. What remains, or the whole histogram where that
+takes fewer sequences, gets patterns of any number of pieces and with some room
+to spare, one generated at a time as the best for the prices of the lengths so
+far; the repeat counts of as many patterns as there are lengths fit it exactly
+and are rounded down again. The lengths that remain are packed best fit first,
+in whole groups of equal sequences. The plan so found is a table of ranges of
+ranks within a length; Spark numbers the pieces of each length, and every piece
+finds its place by its length and rank.
 
 A piece's rank is its rank in its shard plus the count of the shards before, so
 a length that a third of all pieces have is still numbered by all tasks.
@@ -35,8 +39,9 @@ from covtab.llm.common import cut_lineage
 #: Production parameters: tokens of a sequence, and the id that ends a document.
 CAPACITY = 1024
 END_ID = 2
-#: Steps of the least-squares fit.
+#: Steps of the least-squares fit, and patterns generated for what it leaves.
 FIT_STEPS = 300
+GENERATED = 150
 
 PIECES = "doc_id {}, piece int, start long, length long, ids_crc32 long"
 
@@ -145,26 +150,99 @@ def best_fit(left: np.ndarray, capacity: int) -> list[tuple[tuple[tuple[int, int
     return [(tuple(content), n) for groups in by_room.values() for content, n in groups]
 
 
-def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
-    """Rows (length, first rank, end rank, first sequence, offset, pieces of
-    that length in a sequence), sorted by length and rank."""
-    left = histogram.astype(np.int64).copy()
-    groups: list[tuple[tuple[tuple[int, int], ...], int]] = []
-    if left[capacity]:
-        groups.append((((capacity, 1),), int(left[capacity])))
-        left[capacity] = 0
+def _dearest(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
+    """How often each length stands in the pattern of the highest price."""
+    best, taken = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+    for room in range(capacity + 1):
+        if room:
+            best[room] = best[room - 1]
+        if fits[room]:
+            worth = best[room - lengths[:fits[room]]] + prices[:fits[room]]
+            k = int(worth.argmax())
+            if worth[k] > best[room]:
+                best[room], taken[room] = worth[k], k
+    out, room = np.zeros(lengths.size, np.int64), capacity
+    while room > 0:
+        k = taken[room]
+        if k < 0:
+            room -= 1
+        else:
+            out[k] += 1
+            room -= lengths[k]
+    return out
+
+
+def generated_patterns(left: np.ndarray, capacity: int, rounds: int = GENERATED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The present lengths, as many patterns (rows of how often each length
+    stands in one) and their repeat counts, which fit the histogram exactly. A
+    round adds the pattern that saves most at the prices of the lengths and takes
+    out the one that it replaces."""
+    lengths = np.flatnonzero(left[:capacity])
+    each = capacity // lengths
+    shapes, inverse, times = np.diag(each), np.diag(1 / each), left[lengths] / each
+    for _ in range(rounds if lengths.size else 0):
+        prices = inverse.sum(axis=0)
+        fresh = _dearest(lengths, prices, capacity)
+        if prices @ fresh <= 1 + 1e-9:
+            break
+        swap = inverse @ fresh
+        room = np.where(swap > 1e-9, times / np.where(swap > 1e-9, swap, 1), np.inf)
+        k = int(room.argmin())
+        times = np.maximum(times - room[k] * swap, 0)
+        times[k] = room[k]
+        row = inverse[k] / swap[k]
+        inverse -= np.outer(swap, row)
+        inverse[k] = row
+        shapes[k] = fresh
+    return lengths, shapes, times
+
+
+def _take(left: np.ndarray, uses: dict[int, int], wanted: float) -> int:
+    """Takes a pattern out of ``left`` as often as wanted and possible."""
+    n = min(int(wanted + 1e-6), *(int(left[v]) // m for v, m in uses.items()))
+    for v, m in uses.items():
+        left[v] -= n * m
+    return n
+
+
+def _exact(left: np.ndarray, capacity: int) -> list:
+    """Groups of the patterns that fill a sequence exactly, taken out of ``left``."""
+    groups = []
     shapes = patterns(capacity)
     shapes = shapes[((left[shapes] > 0) | (shapes == 0)).all(axis=1)]
     if len(shapes):
         times = fit(shapes, left)
         for p in np.argsort(-times, kind="stable"):
             uses = Counter(int(v) for v in shapes[p] if v)
-            n = min(int(times[p]), *(int(left[v]) // m for v, m in uses.items()))
-            if n > 0:
+            if (n := _take(left, uses, times[p])) > 0:
                 groups.append((tuple(uses.items()), n))
-                for v, m in uses.items():
-                    left[v] -= n * m
-    groups += best_fit(left[:capacity], capacity)
+    return groups
+
+
+def _generated(left: np.ndarray, capacity: int) -> list:
+    """Groups of generated patterns, taken out of ``left``."""
+    groups = []
+    lengths, shapes, times = generated_patterns(left, capacity)
+    for p in np.argsort(-times, kind="stable"):
+        uses = {int(lengths[k]): int(shapes[p][k]) for k in np.flatnonzero(shapes[p])[::-1]}
+        if (n := _take(left, uses, times[p])) > 0:
+            groups.append((tuple(uses.items()), n))
+    return groups
+
+
+def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
+    """Rows (length, first rank, end rank, first sequence, offset, pieces of
+    that length in a sequence), sorted by length and rank."""
+    start = histogram.astype(np.int64).copy()
+    whole = [(((capacity, 1),), int(start[capacity]))] if start[capacity] else []
+    start[capacity] = 0
+    found = []
+    for steps in ((_exact,), (_exact, _generated), (_generated,)):
+        left = start.copy()
+        groups = [g for step in steps for g in step(left, capacity)] + best_fit(left[:capacity], capacity)
+        found.append((sum(n for _, n in groups), len(found), groups))
+    groups = whole + min(found)[2]
     rows, used, sequence = [], Counter(), 0
     for content, n in groups:
         offset = 0

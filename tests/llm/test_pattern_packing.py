@@ -107,3 +107,29 @@ def test_fit_recovers_an_exact_mixture():
 def test_rows_of_one_id_are_packed_whole(table, library):
     rows = [(None, f"text {k % 7}") for k in range(300)] + [(7, "same")] * 300
     check(table(rows), rows, library)
+
+
+def sequences(table):
+    """Sequences of a plan, by the rule that places a piece."""
+    last = table[:, 2] - table[:, 1] - 1
+    return int((table[:, 3] + last // table[:, 5]).max()) + 1
+
+
+def test_patterns_with_room_to_spare_and_of_many_pieces():
+    few = np.zeros(1025, int)
+    few[[400, 300, 250]] = 1000
+    assert sequences(P.plan(few)) == 1000  # one of each; best fit alone takes 1,084
+    short = np.zeros(1025, int)
+    short[[90, 130, 170, 210]] = [4000, 3000, 2500, 2000]
+    least = -(-int((np.arange(1025) * short).sum()) // 1024)
+    assert least <= sequences(P.plan(short)) <= min(least + 20, sum(n for _, n in P.best_fit(short[:1024], 1024)))
+
+
+def test_generated_patterns_fit_the_histogram():
+    rng = np.random.default_rng(4)
+    left = np.zeros(1025, int)
+    left[rng.choice(np.arange(20, 700), 25, replace=False)] = rng.integers(1, 5000, 25)
+    lengths, shapes, times = P.generated_patterns(left, 1024)
+    assert (times >= 0).all() and (shapes @ lengths <= 1024).all()
+    assert np.allclose(times @ shapes, left[lengths])
+    assert times.sum() <= (left[lengths] / (1024 // lengths)).sum()
