@@ -24,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +45,8 @@ _BITS_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, b
 
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     """The SimHash of a text: bit set where over half of the shingle hashes have it."""
+    import xxhash
+
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and the six spaces only
     if not words:
         return 0
