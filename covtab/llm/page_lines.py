@@ -11,7 +11,8 @@ furniture without a name; comparing pages tells (see :mod:`page_diff`).
 
 Markup is read as browsers do where it matters here: a new block ends an open
 paragraph, list items and cells end each other, stray end tags are ignored, and
-what a page leaves open ends with it.
+what a page leaves open ends with it. The time follows the length of a page, also
+of one written to be slow.
 """
 
 from __future__ import annotations
@@ -50,6 +51,9 @@ MAIN_NAMES = {"main", "content", "main-content"}  # ids only
 OF_ARTICLE = {"article", "post", "entry", "story", "content"}
 NEGATED = {"has", "no", "not", "with", "without", "is"}
 
+#: How far up an inline end tag is matched.
+DEEP = 64
+
 
 def _furniture_name(name: str) -> bool:
     parts = [p.lower() for p in PART.findall(name)]
@@ -79,7 +83,7 @@ class _Page:
         self.line = 0
 
     def read(self, page: str) -> None:
-        at = 0
+        at, endless = 0, set()
         while True:
             token = TOKEN.search(page, at)
             self._text(page[at:token.start()] if token else page[at:])
@@ -94,11 +98,13 @@ class _Page:
                 self._end(name)
                 continue
             if name in RAW:
-                close = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
+                close = None if name in endless else re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
                 if close:
                     at = close.end()
                 elif name in ("script", "style"):
                     return
+                else:
+                    endless.add(name)  # looked for once
                 self._break(name)
                 continue
             self._start(name, token[3])
@@ -164,11 +170,11 @@ class _Page:
     def _end(self, name: str) -> None:
         self._break(name)
         if self.open[name]:
-            # An inline end tag ends nothing beyond its block.
+            # An inline end tag ends nothing beyond its block, nor ``DEEP`` elements up.
             if name not in INLINE:
                 self._pop_to({name}, set())
             else:
-                for k in range(len(self.stack) - 1, -1, -1):
+                for k in range(len(self.stack) - 1, max(len(self.stack) - 1 - DEEP, -1), -1):
                     if self.stack[k][0] == name:
                         self.open[name] -= 1
                         del self.stack[k]

@@ -1,6 +1,7 @@
 import html as H
 import random
 import re
+import time
 from functools import lru_cache
 
 import numpy as np
@@ -43,6 +44,11 @@ def test_large_and_deep_pages():
     assert text_of("<article>" + "<div><p>x" * 20000) == " ".join("x" * 20000)
     assert text_of("<b>" * 20000 + "y") == "y"
     assert len(text_of("<article><p>" + "w " * 500000)) == 999999
+    started = time.monotonic()
+    for page in ("<title>" * 200000, "<i>" * 100000 + "<b>" * 100000 + "</i>" * 100000, "<" * 500000, "<a b=" * 200000, "<!-" * 300000,
+                 "<ul>" * 50000 + "<li>" * 100000, "&" * 500000, "<p class='ad'>" * 100000, "<article>" * 50000 + "x" + "</article>" * 50000):
+        text_of(page)
+    assert time.monotonic() - started < 60
 
 
 def test_given_pages_by_their_known_form(spark):
