@@ -121,6 +121,7 @@ def main() -> None:
         rep = build_report(inp, params, materialise=True)
         for df in rep.tables.values():
             run(df)
+        rep.close()
 
     def full_job():
         run_job(spark, {role: f"{scratch}/{role}" for role in inp}, params, f"{scratch}/out", "parquet", force=True)

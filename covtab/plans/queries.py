@@ -151,6 +151,7 @@ def _roundtrip(c: _Ctx) -> DataFrame:
     folder = scratch_folder(c.spark, "published")
     rep = c.report(materialise=True)
     written = publish_tables(dict(rep.tables), folder, "csv")
+    rep.close()
     back = [read_published(c.spark, written[name], "csv").select(
         F.lit(name).alias("name"), F.to_json(F.struct("org_name", "org_code", "known", "alive", "unknown", "percentage")).alias("row"))
         for name in ("table_1", "table_2")]
@@ -163,16 +164,20 @@ def _publication(c: _Ctx) -> DataFrame:
     rep = c.report(materialise=True)
     publish_tables({"table_1": rep.tables["table_2"]}, folder, "parquet")
     publish_tables(dict(rep.tables), folder, "csv")
+    names = list(rep.tables)
+    rep.close()
     tables = open_published(c.spark, folder)
     text = lambda df: F.concat_ws("|", *[F.coalesce(F.col(f"`{x}`"), F.lit("")) for x in df.columns])
-    parts = [tables[name].select(F.lit(name).alias("name"), text(tables[name]).alias("row")) for name in rep.tables]
+    parts = [tables[name].select(F.lit(name).alias("name"), text(tables[name]).alias("row")) for name in names]
     return functools.reduce(DataFrame.union, parts)
 
 
 def _typed(c: _Ctx) -> DataFrame:
     """Table 3a as published text, with its counts as numbers again."""
     folder = scratch_folder(c.spark, "published")
-    publish_tables({"table_3a": c.report(materialise=True).tables["table_3a"]}, folder, "csv")
+    rep = c.report(materialise=True)
+    publish_tables({"table_3a": rep.tables["table_3a"]}, folder, "csv")
+    rep.close()
     back = open_published(c.spark, folder)["table_3a"]
     return read_typed(back, counts=back.columns[2:])
 
