@@ -97,31 +97,32 @@ def _unpacked(data: bytes, kind) -> np.ndarray:
 
 
 def _shards(docs: DataFrame, lang: str, text: str, shard_bytes: int) -> DataFrame:
-    """``(shard, lang, words, counts, ids)``; a task's texts of all languages under way are one shard's bytes at most."""
+    """``(shard, lang, words, counts, ids)``; a task holds the texts of four full shards at most."""
     pairs = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
                         F.col(f"`{text}`").cast("string").cast("binary").alias("text")).where("text IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
-        size = 0
+        size: dict[str, int] = {}
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for name, texts in held.items():
-                words, counts, ids = encode(texts)
-                if words:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name]), pa.array([words], pa.list_(pa.binary())), pa.array([counts], pa.list_(pa.int64())),
-                         pa.array([_packed(ids.astype("<i4"))], pa.binary())], names=["lang", "words", "counts", "ids"])
-            held.clear()
+        def flush(name: str) -> Iterator[pa.RecordBatch]:
+            words, counts, ids = encode(held.pop(name))
+            del size[name]
+            if words:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name]), pa.array([words], pa.list_(pa.binary())), pa.array([counts], pa.list_(pa.int64())),
+                     pa.array([_packed(ids.astype("<i4"))], pa.binary())], names=["lang", "words", "counts", "ids"])
 
         for batch in batches:
             for name, body in zip(batch.column("lang").to_pylist(), batch.column("text")):
                 held.setdefault(name, []).append(body.as_py())
-                size += len(held[name][-1])
-                if size >= shard_bytes:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+                size[name] = size.get(name, 0) + len(held[name][-1])
+                if size[name] >= shard_bytes:
+                    yield from flush(name)
+                elif sum(size.values()) >= 4 * shard_bytes:
+                    yield from flush(max(size, key=size.get))
+        for name in list(held):
+            yield from flush(name)
 
     found = pairs.mapInArrow(run, "lang string, words array<binary>, counts array<long>, ids binary")
     return written(found.withColumn("shard", F.monotonically_increasing_id()))
@@ -138,7 +139,10 @@ def _corpus(shards: DataFrame, vocabulary: DataFrame) -> DataFrame:
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "keys": pa.array([_packed(keys)], pa.binary())})
 
     keys = found.groupBy("shard").applyInArrow(gather, "shard long, keys binary")
-    return written(shards.select("shard", "lang", "ids").join(keys, "shard").drop("shard"))
+    # A given number of partitions is kept, so that later passes over the few bytes that are left of the texts use all cores.
+    partitions = max(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-shards.count() // 64))
+    return written(shards.select("shard", "lang", "ids").repartition(partitions, "shard").join(
+        keys.repartition(partitions, "shard"), "shard").drop("shard"))
 
 
 class _Shard:
@@ -171,6 +175,16 @@ def _shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Shard]
             yield lang.as_py(), _Shard(ids.as_py(), keys.as_py())
 
 
+def _distinct(phrase: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct phrases among those of all places, and how often each occurs."""
+    order = np.lexsort(phrase[::-1])
+    ordered = [w[order] for w in phrase]
+    new = np.ones(order.size, bool)
+    new[1:] = np.any([w[1:] != w[:-1] for w in ordered], axis=0)
+    first = np.flatnonzero(new)
+    return [w[first] for w in ordered], np.diff(np.append(first, order.size))
+
+
 # --- sketches ---------------------------------------------------------------------
 
 def _buckets(phrase: tuple[np.ndarray, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -384,8 +398,7 @@ def _candidates(corpus: DataFrame, length: int, frequent, sketch, bits: int, lea
             phrase = shard.phrases(length, _of_lang(frequent, lang))
             one, two = _buckets(phrase, bits)
             good = (sketch.value[0][one] >= floor) & (sketch.value[1][two] >= floor)
-            words = np.unique(np.stack([w[good] for w in phrase]), axis=1) if good.any() else np.zeros((length, 0), np.int64)
-            yield _rows(lang, list(words))
+            yield _rows(lang, _distinct([w[good] for w in phrase])[0])
 
     return written(corpus.mapInArrow(run, _PHRASE).distinct())
 
@@ -413,10 +426,7 @@ def _added_up(corpus: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, shard in _shards_of(batches):
-            phrase = np.stack(shard.phrases(length))
-            if phrase.size:
-                words, counts = np.unique(phrase, axis=1, return_counts=True)
-                yield _rows(lang, list(words), counts)
+            yield _rows(lang, *_distinct(list(shard.phrases(length))))
 
     return corpus.mapInArrow(run, f"{_PHRASE}, n long")
 
