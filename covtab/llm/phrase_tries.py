@@ -363,9 +363,9 @@ def _of_lang(tries, lang: str) -> list[Trie] | None:
 
 def _tries(phrases: DataFrame, length: int, trie_phrases: int):
     """Broadcasts ``{lang: tries}`` of a written table of distinct phrases."""
-    size = phrases.groupBy("lang").agg(F.count("*").alias("size"))
-    dealt = phrases.join(size, "lang").withColumn(
-        "part", F.pmod(F.xxhash64("w1", "w2"), F.ceil(F.col("size") / trie_phrases)).cast("int"))
+    # As many parts for each language as all phrases need, so that no language is gathered to be counted.
+    parts = max(-(-phrases.count() // trie_phrases), 1)
+    dealt = phrases.withColumn("part", F.pmod(F.xxhash64("w1", "w2"), F.lit(parts)).cast("int"))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         trie = build(np.stack([table.column(c).to_numpy() for c in _WORDS[:length]], axis=1))
