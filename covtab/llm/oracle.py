@@ -152,11 +152,11 @@ WITH RECURSIVE lines AS (
     UNION ALL
     SELECT DISTINCT m.conv_id, m.turn, list_append(p.path, m.turn) FROM messages m JOIN paths p ON p.conv_id = m.conv_id AND p.turn = m.parent
 ), places AS (
-    SELECT conv_id, turn, path[1] AS root_turn, -row_number() OVER (PARTITION BY conv_id, path[1] ORDER BY path DESC) AS position FROM paths
+    SELECT conv_id, turn, array_to_string(path, '/') AS path_text, path[1] AS root_turn, -row_number() OVER (PARTITION BY conv_id, path[1] ORDER BY path DESC) AS position FROM paths
 ), plain AS (
     SELECT *, regexp_replace(coalesce(text, ''), '^([ \t]*\n)+|(\n[ \t]*)+$', '', 'g') AS own FROM messages
 )
-SELECT conv_id, turn, role, parent::VARCHAR AS parent_turn, root_turn, position, n AS n_quoted, n AS n_linked, sha256(own) AS text_sha256,
+SELECT conv_id, turn, role, parent::VARCHAR AS parent_turn, path_text AS path, root_turn, position, n AS n_quoted, n AS n_linked, sha256(own) AS text_sha256,
        sha256('<|' || coalesce(role, 'user') || '|>' || chr(10) || own || chr(10) || '<|end|>' || chr(10)) AS chat_sha256
 FROM plain JOIN places USING (conv_id, turn)
 """

@@ -97,11 +97,13 @@ def _positions(links: DataFrame) -> DataFrame:
     return now.where("NOT leaves").select("conv_id", "turn", F.col("end").alias("root_turn"), (-F.col("n")).alias("position"))
 
 
-def link_replies(messages: DataFrame, paths: bool = True) -> DataFrame:
+def link_replies(messages: DataFrame, paths: bool = True, positions: bool | None = None) -> DataFrame:
     """One row for each row of ``messages``: ``conv_id``, ``turn``, ``role``,
     ``parent_turn``, ``path``, numbers of quoted and of linked lines at level
     1 and deeper, and ``text`` without quotes. Without ``paths``, ``root_turn``
-    and ``position`` (ascending in a tree) stand for ``path``."""
+    and ``position`` (ascending in a tree) stand for ``path``; with
+    ``positions`` they follow it."""
+    positions = not paths if positions is None else positions
     read = messages.select("conv_id", "turn", "role", _lines(text_or_empty("text")).alias("lines"))
     lines = read.where("conv_id IS NOT NULL AND turn IS NOT NULL").select(
         "conv_id", "turn", F.explode("lines").alias("line"))
@@ -119,9 +121,13 @@ def link_replies(messages: DataFrame, paths: bool = True) -> DataFrame:
         F.sum("n").alias("n_quoted"), F.coalesce(F.sum(linked), F.lit(0)).alias("n_linked"))
     everyone = read.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn").distinct()
     parents = cut_lineage(everyone.join(parents, ["conv_id", "turn"], "left"))
-    whole = parents.join((_paths if paths else _positions)(parents), ["conv_id", "turn"])
-    place = [F.coalesce("path", F.array_compact(F.array("turn"))).alias("path")] if paths else [
-        F.coalesce("root_turn", "turn").alias("root_turn"), F.coalesce("position", F.lit(-1)).alias("position")]
+    whole, place = parents, []
+    if paths:
+        whole = whole.join(_paths(parents), ["conv_id", "turn"])
+        place += [F.coalesce("path", F.array_compact(F.array("turn"))).alias("path")]
+    if positions:
+        whole = whole.join(_positions(parents), ["conv_id", "turn"])
+        place += [F.coalesce("root_turn", "turn").alias("root_turn"), F.coalesce("position", F.lit(-1)).alias("position")]
     # Messages that belong nowhere are set aside: they would all meet in one task.
     own = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
     nowhere = read.where(~own).select("*", *[F.lit(None).cast(whole.schema[c].dataType).alias(c) for c in whole.columns[2:]])

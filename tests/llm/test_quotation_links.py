@@ -110,3 +110,11 @@ def test_native_plan(spark):
     df = spark.createDataFrame([(1, 0, "u", "a", "e")], SCHEMA)
     plan = Q.link_replies(df).select(F.col("*"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "collect_list" not in plan
+
+
+def test_registered_query_has_paths_and_places(spark, monkeypatch):
+    rows = [(1, 0, "u", "first"), (1, 1, "u", "second"), (1, 2, "u", "third"), (1, 3, "u", "first"), (2, 0, "u", "first")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    monkeypatch.setattr(queries, "read_table", lambda *_: df)
+    got = {(r.conv_id, r.turn): (r.path, r.root_turn, r.position) for r in queries.op6_quotation_linking(spark, "").collect()}
+    assert got == {(1, 0): ("0", 0, -4), (1, 1): ("0/1", 0, -3), (1, 2): ("0/1/2", 0, -2), (1, 3): ("0/1/2/3", 0, -1), (2, 0): ("0", 0, -1)}
