@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +95,13 @@ def test_trie_holds_its_phrases_and_no_other(length, n, words):
     known = set(map(tuple, phrases.tolist()))
     want = [(i, tuple(shard.key[i:i + length].tolist())) for i in range(ids.size - length + 1) if tuple(shard.key[i:i + length].tolist()) in known]
     assert list(zip(place.tolist(), zip(*(w.tolist() for w in trie.words(state))))) == want
+
+
+def test_packed_numbers_take_little_room():
+    rng = np.random.default_rng(3)
+    ids = np.minimum(rng.zipf(1.3, 200_000), 60_000).astype("<i4")
+    keys = (rng.integers(0, 8, 50_000) * (1 << 33) + rng.integers(0, 3000, 50_000)).astype("<i8")
+    for values in (ids, keys, ids[:0], ids[:1], ids.astype(np.uint8)):
+        assert np.array_equal(phrase_tries._unpacked(phrase_tries._packed(values), values.dtype.str), values)
+    plain = len(pa.compress(ids.tobytes(), codec="zstd", asbytes=True))
+    assert len(phrase_tries._packed(ids)) < 0.8 * plain
