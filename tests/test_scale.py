@@ -51,3 +51,10 @@ def test_facts_are_not_shuffled_by_concept(spark):
             assert not re.search(r"hashpartitioning\(concept_code#\d+, \d+\)", p) and "BroadcastHashJoin" in p, p
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_quality_report_reads_written_counts(spark):
+    report = queries.QUERIES["quality_report"](spark, SF)
+    p = executed(report)
+    assert "lineitem" not in p and "customer" not in p, p
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("covtab_registrations")]
