@@ -29,12 +29,14 @@ from covtab.operators.disclose import (
 )
 from covtab.operators.measure import (
     category_cells,
+    counted_cube,
     coverage,
     crosstab,
     cube_cells,
     cube_population,
     cube_summary,
     known_by_org,
+    pair_counts,
     population,
     registration_cube,
     summary_coverage,
